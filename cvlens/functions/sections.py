@@ -70,6 +70,34 @@ def section_columns(text: Column, patterns: dict[str, list[str]] | None = None,
     return out
 
 
+def add_sections(df, text_col: str, patterns: dict[str, list[str]] | None = None,
+                 names: list[str] | None = None, prefix: str = ""):
+    """``df`` plus one column per section of ``text_col``.
+
+    Each pattern's match offsets are computed once per row in their own
+    projection and shared by every section that needs them.
+    """
+    patterns = DEFAULT_SECTION_PATTERNS if patterns is None else patterns
+    names = SECTION_NAMES if names is None else names
+    text = F.col(text_col)
+    uniq = list(dict.fromkeys(p for ps in patterns.values() for p in ps))
+    tmp = {p: f"__starts{i}" for i, p in enumerate(uniq)}
+    ends = {p: f"__end{i}" for i, p in enumerate(uniq)}
+    df = df.select("*", *[match_starts(text, p).alias(tmp[p]) for p in uniq],
+                   *[first_match_end(text, p).alias(ends[p]) for p in uniq])
+    cols = []
+    for name in names:
+        if name not in patterns or not patterns[name]:
+            cols.append(F.lit("").alias(prefix + name))
+            continue
+        st = F.coalesce(*[F.col(ends[p]) for p in patterns[name]])
+        later = [F.try_element_at(F.filter(tmp[p], lambda s: s > st), F.lit(1)) for p in uniq]
+        end = F.coalesce(F.least(*later) if len(later) > 1 else later[0], F.length(text))
+        body = strip_ws(F.substring(text, st + 1, end - st))
+        cols.append(F.when(st.isNull(), F.lit("")).otherwise(body).alias(prefix + name))
+    return df.select("*", *cols).drop(*tmp.values(), *ends.values())
+
+
 def parse_sections(text, patterns: dict[str, list[str]] | None = None) -> Column:
     """``struct<skills, experience, education, projects, raw_text>``."""
     text = F.col(text) if isinstance(text, str) else text

@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a measured row bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dictionary side above this many rows is joined by shuffle (AQE may still
+# broadcast it at run time from real sizes, and splits skewed partitions).
+BROADCAST_MAX_ROWS = 200_000
+
+
+def bounded_rows(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> int | None:
+    """Row count if it is at most ``max_rows``, else None (reads at most max_rows+1)."""
+    n = df.limit(max_rows + 1).count()
+    return n if n <= max_rows else None
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if bounded_rows(df, max_rows) is not None else df

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cvlens.functions.sections import SECTION_NAMES, section_columns, section_sql
+from cvlens.functions.sections import SECTION_NAMES, add_sections, section_sql
 from cvlens.functions.text import clean_text, clean_text_sql
 from cvlens.plans.registry import register
 from cvlens.sources.tables import document_resumes, document_resumes_sql, documents
@@ -36,8 +36,7 @@ FROM (SELECT resume_id, {clean_text_sql('resume_str')} AS clean FROM {document_r
 
 def _sections(spark, sf, patterns=None):
     df = document_resumes(spark, sf).select("resume_id", clean_text("resume_str").alias("clean"))
-    cols = section_columns(F.col("clean"), patterns)
-    return df.select("resume_id", *[cols[n].alias(n) for n in SECTION_NAMES])
+    return add_sections(df, "clean", patterns).drop("clean")
 
 
 @register("sections_default", _sections_sql())
@@ -56,5 +55,4 @@ SELECT doc_id, {section_sql('c', 'skills')} AS skills, {section_sql('c', 'experi
 FROM (SELECT doc_id, {clean_text_sql('text')} AS c FROM documents)""")
 def q_sections_documents(spark, sf):
     df = documents(spark, sf).select("doc_id", clean_text("text").alias("c"))
-    cols = section_columns(F.col("c"))
-    return df.select("doc_id", *[cols[n].alias(n) for n in SECTION_NAMES])
+    return add_sections(df, "c").drop("c")
