@@ -24,6 +24,10 @@ WS = r"\n" + WS_NO_NL
 # and the punctuation . , ! ? ; : - ' " ( ) [ ] / @).
 KEEP_CLASS = r"a-zA-Z0-9" + WS + r".,!?;:\-'" + '"' + r"()\[\]/@"
 
+# The same white space as literal characters (for btrim / SQL trim).
+WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B))
+            + "\u2028\u2029\u202f\u205f\u3000")
+
 DISALLOWED_RUN = "[^" + KEEP_CLASS + "]+"
 BLANK_LINES = r"\n[" + WS + r"]*\n+"
 SPACE_TAB_RUN = r"[ \t]+"
@@ -37,8 +41,8 @@ def _c(col) -> Column:
 
 
 def strip_ws(col) -> Column:
-    """Python ``str.strip()``: drop leading and trailing white space."""
-    return F.regexp_replace(_c(col), OUTER_WS, "")
+    """Python ``str.strip()``: drop leading and trailing white space (a character-set trim)."""
+    return F.btrim(_c(col), F.lit(WS_CHARS))
 
 
 def collapse_ws(col) -> Column:
@@ -65,8 +69,7 @@ def clean_text(col) -> Column:
 
 def split_words(col) -> Column:
     """Python ``s.split()``: white-space separated tokens, no empty tokens."""
-    s = strip_ws(col)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, WS_RUN))
+    return F.array_remove(F.split(F.coalesce(_c(col), F.lit("")), WS_RUN, -1), "")
 
 
 def normalize_newlines(col) -> Column:
@@ -91,8 +94,16 @@ def clean_text_sql(expr: str) -> str:
     t = rr(t, BLANK_LINES, "\n\n")
     t = rr(t, SPACE_TAB_RUN, " ")
     t = rr(t, LINE_EDGES, "\n")
-    return rr(t, OUTER_WS, "")
+    return strip_ws_sql(t)
+
+
+def ws_chars_sql() -> str:
+    return "(" + " || ".join("chr(%d)" % ord(c) for c in WS_CHARS) + ")"
 
 
 def strip_ws_sql(expr: str) -> str:
-    return "regexp_replace(%s, '%s', '', 'g')" % (expr, OUTER_WS)
+    return "trim(%s, %s)" % (expr, ws_chars_sql())
+
+
+def split_words_sql(expr: str) -> str:
+    return "list_filter(string_split_regex(coalesce(%s, ''), '%s'), lambda x: x <> '')" % (expr, WS_RUN)

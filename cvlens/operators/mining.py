@@ -57,9 +57,33 @@ def clean_transaction(items: Column) -> Column:
     return first_spelling(kept)
 
 
+def transactions_long(resumes: DataFrame, skills_col: str, id_col: str = "resume_id",
+                      clean: bool = True) -> DataFrame:
+    """The same result as ``transactions`` for long item lists (whole texts).
+
+    Items are exploded so filtering and stripping run as generated code;
+    the first position per (id, key) is a partial aggregate (a hot key is
+    combined before the shuffle); one regroup per id restores the order.
+    """
+    long = resumes.select(F.col(id_col).alias("resume_id"), F.posexplode(skills_col).alias("pos", "item"))
+    long = long.where(F.col("item").isNotNull())
+    if clean:
+        long = long.withColumn("item", strip_ws("item")).where(~is_noise_skill("item", stripped=True))
+        key = F.lower("item")
+    else:
+        key = F.col("item")
+    firsts = (long.groupBy("resume_id", key.alias("_k"))
+              .agg(F.min_by("item", "pos").alias("item"), F.min("pos").alias("pos")))
+    return (firsts.groupBy("resume_id")
+            .agg(F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("_s"))
+            .select("resume_id", F.transform("_s", lambda x: x["item"]).alias("items")))
+
+
 def transactions(resumes: DataFrame, skills_col: str = "normalized_skills",
-                 id_col: str = "resume_id", clean: bool = True) -> DataFrame:
+                 id_col: str = "resume_id", clean: bool = True, long_lists: bool = False) -> DataFrame:
     """(id, items) for every resume whose cleaned skill list is non-empty."""
+    if long_lists:
+        return transactions_long(resumes, skills_col, id_col, clean)
     items = F.coalesce(F.col(skills_col), F.array().cast("array<string>"))
     items = clean_transaction(items) if clean else F.array_distinct(items)
     return (resumes.select(F.col(id_col).alias("resume_id"), items.alias("items"))

@@ -123,7 +123,7 @@ FROM f GROUP BY doc_id""")
 def q_clean_transactions(spark, sf):
     docs = documents(spark, sf).select(
         "doc_id", split_words(clean_text("text")).alias("words"))
-    tx = transactions(docs, "words", "doc_id", clean=True)
+    tx = transactions(docs, "words", "doc_id", clean=True, long_lists=True)
     return tx.select(F.col("resume_id").alias("doc_id"), F.array_join("items", "|").alias("items"),
                      F.size("items").cast("long").alias("n_items"))
 
@@ -135,6 +135,6 @@ FROM f GROUP BY doc_id""")
 def q_dedupe_only(spark, sf):
     docs = documents(spark, sf).select(
         "doc_id", split_words(clean_text("text")).alias("words"))
-    tx = transactions(docs, "words", "doc_id", clean=False)
+    tx = transactions(docs, "words", "doc_id", clean=False, long_lists=True)
     return tx.select(F.col("resume_id").alias("doc_id"), F.array_join("items", "|").alias("items"),
                      F.size("items").cast("long").alias("n_items"))
