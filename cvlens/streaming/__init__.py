@@ -1 +1,50 @@
-"""cvlens.streaming."""
+"""Incremental ingest of resume files with Structured Streaming.
+
+The reference has no streaming operators. New files dropped into
+``root/<CATEGORY>/<id>.txt`` go through the same row-local column steps as the
+batch path (decode, clean, sections, explicit and implicit skills), so no
+state is kept; the sink is an append-only parquet table with its checkpoint
+under the shared checkpoint folder (exactly-once, survives restarts).
+Normalisation and mining need the whole collection and run as batch jobs
+over that table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cvlens.functions.sections import add_sections
+from cvlens.functions.text import clean_text, normalize_newlines
+from cvlens.operators.skills import explicit_skills, implicit_skills
+from cvlens.sources.aliases import DEFAULT_ALIASES
+
+_PATH = r"([^/]+)/([^/]+)\.[^./]+$"
+
+
+def read_resume_stream(spark: SparkSession, root: str, max_files_per_trigger: int = 1000) -> DataFrame:
+    """Streaming (resume_id, category, resume_str) from category folders of .txt files."""
+    raw = (spark.readStream.format("text").option("wholetext", True)
+           .option("pathGlobFilter", "*.txt").option("maxFilesPerTrigger", max_files_per_trigger)
+           .load(f"{root.rstrip('/')}/*/"))
+    path = F.col("_metadata.file_path")
+    return raw.select(F.regexp_extract(path, _PATH, 2).alias("resume_id"),
+                      F.regexp_extract(path, _PATH, 1).alias("category"),
+                      normalize_newlines("value").alias("resume_str"))
+
+
+def structure(df: DataFrame, terms=None) -> DataFrame:
+    """Row-local steps shared with the batch path."""
+    terms = list(DEFAULT_ALIASES) + list(DEFAULT_ALIASES.values()) if terms is None else terms
+    c = df.withColumn("clean", clean_text("resume_str"))
+    s = add_sections(c, "clean", names=["skills", "experience", "education", "projects"])
+    return s.select("resume_id", "category", "skills", "experience", "education", "projects",
+                    explicit_skills("skills").alias("explicit_skills"),
+                    implicit_skills(F.concat_ws("\n", "experience", "projects"), terms).alias("implicit_skills"))
+
+
+def start_ingest(spark: SparkSession, root: str, out_path: str, checkpoint: str, terms=None):
+    """Start the append-only ingest; returns the StreamingQuery."""
+    return (structure(read_resume_stream(spark, root), terms).writeStream
+            .format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
+            .outputMode("append").start())

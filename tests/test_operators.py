@@ -214,3 +214,18 @@ def test_required_columns(spark, tmp_path):
     p.write_text("ID,Resume_str,Category\n1,x,A\n")
     with pytest.raises(ValueError):
         read_resume_csv(spark, str(p))
+
+
+def test_streaming_ingest(spark, tmp_path):
+    from cvlens.streaming import start_ingest
+    root = tmp_path / "archive"
+    (root / "IT").mkdir(parents=True)
+    (root / "IT" / "r1.txt").write_text("SKILLS: Python, SQL\nEXPERIENCE: built spark jobs")
+    (root / "HR").mkdir()
+    (root / "HR" / "r2.txt").write_text("Skills: Excel; Word\nEducation: BA")
+    q = start_ingest(spark, str(root), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    q.processAllAvailable()
+    q.stop()
+    rows = {r["resume_id"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert rows["r1"]["category"] == "IT" and rows["r1"]["explicit_skills"] == ["Python", "SQL"]
+    assert rows["r2"]["explicit_skills"] == ["Excel", "Word"] and "spark" in rows["r1"]["implicit_skills"]
