@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
-from cvlens.llm import exact_dedup, sharding, url_filter
+import public_tokenizers
+
+from cvlens.llm import exact_dedup, packing, sharding, token_files, url_filter
 from cvlens.llm.common import table
 
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_bin_completion(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE)
+
+
+def op5_token_frames(spark, sf_dir):
+    return token_files.token_file_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE)
+
 
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), keep="max")
@@ -19,7 +31,7 @@ def op9_url_vocabulary(spark, sf_dir):
             .select("page_id", "host", "path", "rule", "verdict"))
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op8_two_pass_shuffle, op9_url_vocabulary)}
+QUERIES = {f.__name__: f for f in (op3_bin_completion, op5_token_frames, op6_exact_dedup, op8_two_pass_shuffle, op9_url_vocabulary)}
 
 ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
