@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +67,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="cvlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, once a session.
+
+    Functions of the package are pickled by name, so workers must be able to
+    import it wherever they run. An installed or already zipped package (a
+    wheel on the cluster, ``--py-files``) is left as it is.
+    """
+    sc = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_cvlens_shipped", False) or not os.path.isdir(root):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="cvlens-ship-"), "cvlens.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if not name.endswith((".pyc", ".pyo")):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("cvlens", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._cvlens_shipped = True
