@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from cvlens.llm import exact_dedup, packing, sharding, token_files, url_filter
+from cvlens.llm import bpe, exact_dedup, packing, sharding, token_files, url_filter
 from cvlens.llm.common import table
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_byte_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.round_trip_digests(docs, BYTE_RANKS, public_tokenizers.PATTERN)
+
+
 def op3_bin_completion(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE)
 
@@ -31,7 +37,7 @@ def op9_url_vocabulary(spark, sf_dir):
             .select("page_id", "host", "path", "rule", "verdict"))
 
 
-QUERIES = {f.__name__: f for f in (op3_bin_completion, op5_token_frames, op6_exact_dedup, op8_two_pass_shuffle, op9_url_vocabulary)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_bin_completion, op5_token_frames, op6_exact_dedup, op8_two_pass_shuffle, op9_url_vocabulary)}
 
 ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
