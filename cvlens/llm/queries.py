@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from cvlens.llm import bpe, exact_dedup, packing, sharding, token_files, url_filter
+from cvlens.llm import bpe, exact_dedup, packing, sharding, token_files, toxicity, url_filter
 from cvlens.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -16,6 +16,10 @@ def op1_byte_bpe(spark, sf_dir):
     return bpe.round_trip_digests(docs, BYTE_RANKS, public_tokenizers.PATTERN)
 
 
+def op2_noisy_channel_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(spark, sf_dir)
+
+
 def op3_bin_completion(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE)
 
@@ -37,7 +41,7 @@ def op9_url_vocabulary(spark, sf_dir):
             .select("page_id", "host", "path", "rule", "verdict"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_bin_completion, op5_token_frames, op6_exact_dedup, op8_two_pass_shuffle, op9_url_vocabulary)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_noisy_channel_toxicity, op3_bin_completion, op5_token_frames, op6_exact_dedup, op8_two_pass_shuffle, op9_url_vocabulary)}
 
 ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
