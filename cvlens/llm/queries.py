@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from cvlens.llm import bpe, exact_dedup, packing, sharding, token_files, toxicity, url_filter
+from cvlens.llm import bpe, exact_dedup, packing, projection_search, sharding, token_files, toxicity, url_filter
 from cvlens.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -32,6 +33,11 @@ def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), keep="max")
 
 
+def op7_projected_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return projection_search.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op8_two_pass_shuffle(spark, sf_dir):
     return sharding.shard_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -41,7 +47,7 @@ def op9_url_vocabulary(spark, sf_dir):
             .select("page_id", "host", "path", "rule", "verdict"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_noisy_channel_toxicity, op3_bin_completion, op5_token_frames, op6_exact_dedup, op8_two_pass_shuffle, op9_url_vocabulary)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_noisy_channel_toxicity, op3_bin_completion, op5_token_frames, op6_exact_dedup, op7_projected_neighbours, op8_two_pass_shuffle, op9_url_vocabulary)}
 
 ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
