@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from cvlens.llm import bpe, exact_dedup, packing, projection_search, sharding, token_files, toxicity, url_filter
+from cvlens.llm import bpe, chosen_path, exact_dedup, packing, projection_search, sharding, token_files, toxicity, url_filter
 from cvlens.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -47,7 +47,13 @@ def op9_url_vocabulary(spark, sf_dir):
             .select("page_id", "host", "path", "rule", "verdict"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_noisy_channel_toxicity, op3_bin_completion, op5_token_frames, op6_exact_dedup, op7_projected_neighbours, op8_two_pass_shuffle, op9_url_vocabulary)}
+def op10_chosen_path_join(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chosen_path.near_duplicates(docs).select("doc_id", "class_id", "n_links")
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_noisy_channel_toxicity, op3_bin_completion, op5_token_frames, op6_exact_dedup, op7_projected_neighbours, op8_two_pass_shuffle, op9_url_vocabulary,
+                                  op10_chosen_path_join)}
 
 ORACLES = {
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
