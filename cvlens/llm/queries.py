@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from cvlens.llm import bpe, chosen_path, exact_dedup, packing, projection_search, sharding, token_files, toxicity, url_filter
+from cvlens.llm import bpe, chosen_path, exact_dedup, packing, projection_search, sharding, suffix_dedup, token_files, toxicity, url_filter
 from cvlens.llm.common import table
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,6 +25,10 @@ def op3_bin_completion(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE)
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.repeat_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_token_frames(spark, sf_dir):
     return token_files.token_file_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE)
 
@@ -52,7 +56,7 @@ def op10_chosen_path_join(spark, sf_dir):
     return chosen_path.near_duplicates(docs).select("doc_id", "class_id", "n_links")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_noisy_channel_toxicity, op3_bin_completion, op5_token_frames, op6_exact_dedup, op7_projected_neighbours, op8_two_pass_shuffle, op9_url_vocabulary,
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_noisy_channel_toxicity, op3_bin_completion, op4_suffix_dedup, op5_token_frames, op6_exact_dedup, op7_projected_neighbours, op8_two_pass_shuffle, op9_url_vocabulary,
                                   op10_chosen_path_join)}
 
 ORACLES = {
