@@ -329,7 +329,8 @@ def _tokens(batches):
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, depth: int = DEPTH,
                     small: int = SMALL, block: int = BLOCK, seed: int = 11) -> DataFrame:
-    """One row per document: doc_id, class_id (least doc_id of its class), n_links, and rid (its place)."""
+    """One row per document: doc_id, class_id (least doc_id of its class), n_links, rid (its place), class_rid
+    (the same number for all of a class)."""
     if not 0 < threshold <= 1 or not 0 < recall < 1 or not 1 <= depth <= 3:
         raise ValueError("threshold in (0, 1], recall in (0, 1), depth 1 to 3")
     placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
@@ -380,7 +381,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
                         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     labelled = written(labelled, "chosen-labels")
     named = labelled.groupBy("label").agg(F.min("least_id").alias("class_id"))
-    answer = labelled.join(named, "label").select("d1", "d2", "size", "class_id", "n_links")
-    alone = signed.filter("size = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "rid")
+    answer = labelled.join(named, "label").select("d1", "d2", "size", "class_id", "n_links", F.col("label").alias("class_rid"))
+    alone = signed.filter("size = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), "rid",
+                                            F.col("rid").alias("class_rid"))
     return (signed.filter("size > 0").select("doc_id", "rid", "d1", "d2", "size").join(answer, ["d1", "d2", "size"])
-            .select("doc_id", "class_id", "n_links", "rid").unionByName(alone))
+            .select("doc_id", "class_id", "n_links", "rid", "class_rid").unionByName(alone))

@@ -34,7 +34,8 @@ def op5_token_frames(spark, sf_dir):
 
 
 def op6_exact_dedup(spark, sf_dir):
-    return exact_dedup.exact_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), keep="max")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return exact_dedup.exact_groups(docs, keep="max").drop("rid")
 
 
 def op7_projected_neighbours(spark, sf_dir):

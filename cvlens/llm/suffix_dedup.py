@@ -108,7 +108,7 @@ def _anchor_rows(window: int, gram: int):
             rid = b.column(0).to_numpy()
             for a, z in spans(offsets[:-1] // CHUNK_BYTES):
                 start, end = int(offsets[a]), int(offsets[z])
-                cut = end - start > 2 * CHUNK_BYTES and z - a == 1
+                cut = end - start > 2 * CHUNK_BYTES
                 # a very long document goes in parts that share all but one byte of a string
                 for s in range(start, end, CHUNK_BYTES) if cut else (start,):
                     e = min(s + CHUNK_BYTES + window - 1, end) if cut else end
@@ -254,7 +254,7 @@ def _contexts(batches):
     import pyarrow as pa
     for b in batches:
         raw, offsets = byte_column(b.column(2))
-        want = b.column(3)
+        want = b.column(4)
         flat = want.flatten()
         of = np.repeat(np.arange(b.num_rows), np.diff(want.offsets.to_numpy()))
         h, p, lo, n = (flat.field(k).to_numpy() for k in ("h", "p", "lo", "n"))
@@ -284,7 +284,7 @@ def _cut(batches):
     for b in batches:
         raw, offsets = byte_column(b.column(2))
         rows = []
-        for i, own in enumerate(b.column(3).to_pylist()):
+        for i, own in enumerate(b.column(4).to_pylist()):
             text = raw[offsets[i]:offsets[i + 1]].tobytes()
             merged: list[list[int]] = []
             for s in sorted((s["a"], s["z"]) for s in own or ()):
@@ -299,15 +299,18 @@ def _cut(batches):
             kept.append(text[at:])
             rows.append((len(text), sum(z - a for a, z in merged), len(merged), b"".join(kept)))
         yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)),
-             pa.array([r[3] for r in rows], pa.binary())], ["rid", "doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+            [b.column(0), b.column(1), b.column(3), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)),
+             pa.array([r[3] for r in rows], pa.binary())], ["rid", "doc_id", "rest", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """One row per document: rid (its place), doc_id, n_bytes, n_removed, n_spans, kept (bytes)."""
+def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    """One row per document: rid (its place), doc_id, rest (the columns to ``carry``), n_bytes, n_removed,
+    n_spans, kept (bytes)."""
+    rest = F.struct(*(F.col(f"`{c}`") for c in carry)) if carry else F.struct(F.lit(0).alias("none"))
     texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
-                        text_or_empty().cast("string").cast("binary").alias("text"))
-    rows = texts.mapInArrow(_anchor_rows(WINDOW, GRAM), _ANCHORS)
+                        text_or_empty().cast("string").cast("binary").alias("text"), rest.alias("rest"))
+    rest_type = texts.schema["rest"].dataType.simpleString()
+    rows = texts.select("rid", "doc_id", "text").mapInArrow(_anchor_rows(WINDOW, GRAM), _ANCHORS)
     twice = (rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("u").alias("u1"), F.max("u").alias("u2"))
              .filter("c > 1").select("h", (F.col("u1") == F.col("u2")).alias("alike")))
     found = written(rows.join(twice, "h"), "repeat-anchors")
@@ -316,13 +319,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     kinds = (mixed.groupBy("h", "u").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rid", "p", "lo", "n")).alias("one")))
     alike = mixed.join(kinds.filter("c > 1").select("h", "u"), ["h", "u"], "left_semi")
     wanted = (kinds.select("h", "one.*").groupBy("rid").agg(F.collect_list(F.struct("h", "p", "lo", "n")).alias("wanted")))
-    contexts = (texts.join(wanted, "rid").select("rid", "doc_id", "text", "wanted")
+    contexts = (texts.join(wanted, "rid").select("rid", "doc_id", "text", "rest", "wanted")
                 .mapInArrow(_contexts, "h long, rid long, p int, lo int, context binary"))
     edges = contexts.repartition("h").sortWithinPartitions("h", "rid", "p").mapInArrow(_sorted_spans, "rid long, a long, z long")
     covered = (whole(found.filter("alike")).unionByName(whole(alike)).unionByName(edges)
                .groupBy("rid").agg(F.collect_list(F.struct("a", "z")).alias("covered")))
-    return (texts.join(covered, "rid", "left").select("rid", "doc_id", "text", "covered")
-            .mapInArrow(_cut, "rid long, doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
+    return (texts.join(covered, "rid", "left").select("rid", "doc_id", "text", "rest", "covered")
+            .mapInArrow(_cut, f"rid long, doc_id long, rest {rest_type}, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 
 def repeat_digests(docs: DataFrame) -> DataFrame:

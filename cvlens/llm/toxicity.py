@@ -31,7 +31,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cvlens.llm.common import table, text_or_empty
@@ -318,9 +318,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, sm
 _SCORERS: dict[int, WordScorer] = {}
 
 
-def score_documents(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted (1 from 0.5 up)."""
-    given = docs.sparkSession.sparkContext.broadcast(model)
+def score_column(spark: SparkSession, model: ToxicityModel, text: str = "text") -> Column:
+    """The score (0 to 1) of a text column."""
+    given = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def score(texts):
@@ -332,7 +332,13 @@ def score_documents(docs: DataFrame, model: ToxicityModel, text: str = "text") -
             scorer = _SCORERS[id(m)] = m.scorer()
         return pd.Series([m.score(scorer, t) for t in texts], dtype="float64")
 
-    return docs.withColumn("score", score(text_or_empty(text))).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return score(text_or_empty(text))
+
+
+def score_documents(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
+    """``docs`` with score (0 to 1) and predicted (1 from 0.5 up)."""
+    return (docs.withColumn("score", score_column(docs.sparkSession, model, text))
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
 def toxicity_scores(spark, sf_dir: str) -> DataFrame:
