@@ -35,6 +35,8 @@ from cvlens.llm.common import text_or_empty
 BLOCK_BYTES = 48 << 20
 # Documents in a row of word numbers.
 ROW_DOCS = 512
+# Pieces whose words a block remembers; beyond it starts to learn anew.
+MAX_PIECES = 150_000
 
 _DOCS = "block long, row int, doc_ids array<long>, sizes array<int>, numbers binary"
 _WORDS = "word string, block long, number int"
@@ -83,10 +85,13 @@ class Block:
         import regex
         self.find = regex.compile(pattern).findall
         self.words: dict[str, int] = {}
+        self.n_bytes = 0
+        self._forget()
+
+    def _forget(self) -> None:
         self.pieces: dict[str, int] = {}
         self.starts, self.sizes, self.flat = array("q"), array("q"), array("i")
         self.odd = bytearray()
-        self.n_bytes = 0
 
     def _number(self, words: list[str]) -> list[int]:
         own = self.words
@@ -112,6 +117,8 @@ class Block:
         if not text:
             return np.zeros(0, np.int32)
         self.n_bytes += len(text)
+        if len(self.pieces) > MAX_PIECES:
+            self._forget()
         first, *rest = text.split(" ")
         known = self.pieces
         for p in rest:
@@ -203,59 +210,68 @@ def _encode_words(path: str, pattern: str, flush: int = 1 << 18):
     return run
 
 
-def _assemble(docs, words):
+def decode_ids(ranks: str, parts: list[bytes]) -> list[bytes]:
+    """The bytes of each list of ids, by a join with the token-byte table."""
+    starts, sizes, raw = token_table(ranks)
+    at = np.frombuffer(b"".join(parts), "<u4").astype(np.int64)
+    if len(at) and (at.max() >= len(sizes) or not sizes[at].all()):
+        raise ValueError("an id is not in the token table")
+    body = gather(starts, sizes, raw, at).tobytes()
+    n = np.cumsum([0, *(len(p) // 4 for p in parts)])
+    upto = np.concatenate([[0], np.cumsum(sizes[at])])[n].tolist()
+    return [body[a:z] for a, z in zip(upto, upto[1:])]
+
+
+def _assemble(docs, words, ranks: str, decode: bool):
     """One block: its documents' word numbers and its words' ids -> its documents' ids."""
     import pyarrow as pa
     import zstandard
     cat = lambda name, kind: np.frombuffer(b"".join(words.column(name).to_pylist()), kind)
     numbers, sizes, ids = cat("numbers", np.int32), cat("sizes", np.int32).astype(np.int64), cat("ids", np.uint32)
-    starts_in = np.cumsum(sizes) - sizes
     starts, lens = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
-    starts[numbers], lens[numbers] = starts_in, sizes
+    starts[numbers], lens[numbers] = np.cumsum(sizes) - sizes, sizes
     unzip = zstandard.ZstdDecompressor()
-    doc_ids, out = [], []
+    batches = []
     for own, n, packed in zip(docs.column("doc_ids").to_pylist(), docs.column("sizes").to_pylist(), docs.column("numbers").to_pylist()):
         total = sum(n)
         raw = unzip.decompress(packed, max_output_size=4 * total) if total else b""
         at = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel().astype(np.int64)
         flat = gather(starts, lens, ids, at).astype("<u4").tobytes()
         upto = np.concatenate([[0], np.cumsum(lens[at])])[np.concatenate([[0], np.cumsum(n)])].tolist()
-        doc_ids += own
-        out += [flat[4 * a:4 * z] for a, z in zip(upto, upto[1:])]
-    return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "ids": pa.array(out, pa.binary())})
+        out = [flat[4 * a:4 * z] for a, z in zip(upto, upto[1:])]
+        columns = [pa.array(own, pa.int64()), pa.array(out, pa.binary())]
+        if decode:
+            columns.append(pa.array(decode_ids(ranks, out), pa.binary()))
+        batches.append(pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"][:len(columns)]))
+    return pa.Table.from_batches(batches)
+
 
+def encode_documents(docs: DataFrame, ranks: str, pattern: str, block_bytes: int = BLOCK_BYTES, decode: bool = False) -> DataFrame:
+    """(doc_id, ids): the ids as little-endian unsigned 32-bit integers.
 
-def encode_documents(docs: DataFrame, ranks: str, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, ids): the ids as little-endian unsigned 32-bit integers."""
+    ``decode`` adds ``decoded``, the bytes that the ids stand for, in the same
+    worker; ``decode_documents`` does so for stored ids.
+    """
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("string").alias("text"))
     numbered = text.mapInArrow(_blocks(pattern, block_bytes, False), _DOCS)
     words = text.mapInArrow(_blocks(pattern, block_bytes, True), _WORDS)
     ids = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encode_words(ranks, pattern), _IDS)
     return (numbered.groupBy("block").cogroup(ids.groupBy("block"))
-            .applyInArrow(lambda d, w: _assemble(d, w), "doc_id long, ids binary"))
+            .applyInArrow(lambda d, w: _assemble(d, w, ranks, decode), "doc_id long, ids binary" + ", decoded binary" * decode))
 
 
 def decode_documents(encoded: DataFrame, ranks: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with the decoded bytes."""
     def run(batches):
         import pyarrow as pa
-        starts, sizes, raw = token_table(ranks)
         for b in batches:
-            parts = b.column(1).to_pylist()
-            at = np.frombuffer(b"".join(parts), "<u4").astype(np.int64)
-            if len(at) and (at.max() >= len(sizes) or not sizes[at].all()):
-                raise ValueError("an id is not in the token table")
-            body = gather(starts, sizes, raw, at).tobytes()
-            n = np.cumsum([0, *(len(p) // 4 for p in parts)])
-            upto = np.concatenate([[0], np.cumsum(sizes[at])])[n].tolist()
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([body[a:z] for a, z in zip(upto, upto[1:])], pa.binary())],
-                ["doc_id", "ids", "decoded"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(decode_ids(ranks, b.column(1).to_pylist()), pa.binary())],
+                                             ["doc_id", "ids", "decoded"])
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
 
 
 def round_trip_digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """The registered query: encode, decode the ids, digest both."""
-    both = decode_documents(encode_documents(docs, ranks, pattern), ranks)
+    both = encode_documents(docs, ranks, pattern, decode=True)
     return both.select("doc_id", F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
