@@ -106,10 +106,12 @@ def _anchor_rows(window: int, gram: int):
         for b in batches:
             raw, offsets = byte_column(b.column(2))
             rid = b.column(0).to_numpy()
-            for a, z in spans(offsets[:-1] // CHUNK_BYTES):
+            # a chunk ends with a document; a very long one is alone, in parts that share all but one byte of a string
+            long = np.diff(offsets) > CHUNK_BYTES
+            fresh = (np.diff(offsets[:-1] // CHUNK_BYTES, prepend=0) != 0) | long | np.concatenate([[False], long])[:len(long)]
+            for a, z in spans(np.cumsum(fresh)):
                 start, end = int(offsets[a]), int(offsets[z])
-                cut = end - start > 2 * CHUNK_BYTES
-                # a very long document goes in parts that share all but one byte of a string
+                cut = bool(long[a])
                 for s in range(start, end, CHUNK_BYTES) if cut else (start,):
                     e = min(s + CHUNK_BYTES + window - 1, end) if cut else end
                     own = np.array([0, e - s]) if cut else offsets[a:z + 1] - start
