@@ -349,7 +349,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
             rows = (own.select("rid", F.explode(F.arrays_zip(f"p{level}", f"l{level}")).alias("_z"))
                     .select("rid", F.col(f"_z.p{level}").alias("parent"), F.col(f"_z.l{level}").alias("path"))
                     .join(opened, "parent", "left_semi").select("rid", "path"))
-        rows = rows.distinct() if level > 1 else rows
+            rows = written(rows.distinct(), "chosen-rows")
         sizes = written(rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "chosen-sizes")
         leaves.append(rows.join(sizes.filter(F.col("n") <= small), "path").select("path", "rid", "n"))
         opened = sizes.filter(F.col("n") > small).select(F.col("path").alias("parent"))
