@@ -8,8 +8,6 @@ so the helper stays tiny and runs inside Arrow batches.
 
 from __future__ import annotations
 
-import math
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,6 +56,11 @@ def admissible_lengths(length: Column, cutoff: float) -> Column:
     return F.sequence(lo.cast("int"), hi.cast("int"))
 
 
+def edit_bound(la: Column, lb: Column, cutoff: float) -> Column:
+    """The most insertions and deletions that strings of these lengths may be apart and still reach ``cutoff``."""
+    return F.floor((la + lb) * F.lit(1.0 - cutoff / 100.0) + F.lit(1e-9)).cast("int")
+
+
 def lcs_sql(a: str, b: str) -> str:
     """DuckDB expression: LCS length by the textbook row recurrence."""
     return ("list_reduce(string_split(%(a)s, ''), lambda prev, ca: list_reduce(range(1, len(%(b)s) + 1), "
@@ -71,5 +74,3 @@ def similarity_sql(a: str, b: str) -> str:
             "1.0 - (length(%(a)s) + length(%(b)s) - 2 * (%(l)s)) / (length(%(a)s) + length(%(b)s))::DOUBLE END"
             ) % {"a": a, "b": b, "l": lcs_sql(a, b)}
 
-
-assert math.isclose(similarity("Pythn", "Python") * 100, 90.9090909, rel_tol=1e-6)

@@ -26,83 +26,51 @@ DEFAULT_SECTION_PATTERNS: dict[str, list[str]] = {
 SECTION_NAMES = ["skills", "experience", "education", "projects"]
 
 
-def match_starts(text: Column, pattern: str) -> Column:
-    """0-based start offsets of every non-overlapping match of ``pattern``."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), 0)
-    pieces = F.slice(F.split(text, pattern, -1), 1, F.size(matches))
-    pairs = F.arrays_zip(pieces.alias("g"), matches.alias("m"))
-    init = F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("starts"))
+def _later_start(pairs: Column, after: Column) -> Column:
+    """The first match start beyond ``after``: one pass over (gap, match) pairs, nothing is built up."""
+    init = F.struct(F.lit(0).alias("pos"), F.lit(None).cast("int").alias("hit"))
 
     def step(acc, x):
         start = acc["pos"] + F.length(x["g"])
         return F.struct((start + F.length(x["m"])).alias("pos"),
-                        F.concat(acc["starts"], F.array(start)).alias("starts"))
+                        F.coalesce(acc["hit"], F.when(start > after, start)).alias("hit"))
 
-    return F.aggregate(pairs, init, step, lambda acc: acc["starts"])
-
-
-def first_match_end(text: Column, pattern: str) -> Column:
-    """End offset of the first match, null when the pattern does not occur."""
-    pieces = F.split(text, pattern, -1)
-    first = F.regexp_extract(text, pattern, 0)
-    return F.when(F.size(pieces) > 1,
-                  F.length(F.element_at(pieces, 1)) + F.length(first))
-
-
-def section_columns(text: Column, patterns: dict[str, list[str]] | None = None,
-                    names: list[str] | None = None) -> dict[str, Column]:
-    """One Column per requested section name (unknown names give '')."""
-    patterns = DEFAULT_SECTION_PATTERNS if patterns is None else patterns
-    names = SECTION_NAMES if names is None else names
-    all_patterns = [p for ps in patterns.values() for p in ps]
-    starts = {p: match_starts(text, p) for p in dict.fromkeys(all_patterns)}
-    out = {}
-    for name in names:
-        if name not in patterns or not patterns[name]:
-            out[name] = F.lit("")
-            continue
-        st = F.coalesce(*[first_match_end(text, p) for p in patterns[name]])
-        # try_element_at of an empty filter is null; least() skips nulls.
-        later = [F.try_element_at(F.filter(starts[p], lambda s: s > st), F.lit(1)) for p in starts]
-        end = F.coalesce(F.least(*later) if len(later) > 1 else later[0], F.length(text))
-        body = strip_ws(F.substring(text, st + 1, end - st))
-        out[name] = F.when(st.isNull(), F.lit("")).otherwise(body)
-    return out
+    return F.aggregate(pairs, init, step, lambda acc: acc["hit"])
 
 
 def add_sections(df, text_col: str, patterns: dict[str, list[str]] | None = None,
                  names: list[str] | None = None, prefix: str = ""):
     """``df`` plus one column per section of ``text_col``.
 
-    Each pattern's match offsets are computed once per row in their own
-    projection and shared by every section that needs them.
+    Each pattern passes over the text twice (matches, and the text between
+    them), in a projection that all sections share.
     """
     patterns = DEFAULT_SECTION_PATTERNS if patterns is None else patterns
     names = SECTION_NAMES if names is None else names
     text = F.col(text_col)
     uniq = list(dict.fromkeys(p for ps in patterns.values() for p in ps))
-    tmp = {p: f"__starts{i}" for i, p in enumerate(uniq)}
-    ends = {p: f"__end{i}" for i, p in enumerate(uniq)}
-    df = df.select("*", *[match_starts(text, p).alias(tmp[p]) for p in uniq],
-                   *[first_match_end(text, p).alias(ends[p]) for p in uniq])
+    found = {p: f"__m{i}" for i, p in enumerate(uniq)}
+    between = {p: f"__g{i}" for i, p in enumerate(uniq)}
+    df = df.select("*", *[F.regexp_extract_all(text, F.lit(p), 0).alias(found[p]) for p in uniq],
+                   *[F.split(text, p, -1).alias(between[p]) for p in uniq])
+    pairs = {p: F.arrays_zip(F.slice(between[p], 1, F.size(found[p])).alias("g"), F.col(found[p]).alias("m")) for p in uniq}
+    firsts = {p: F.when(F.size(found[p]) > 0, F.length(F.element_at(between[p], 1)) + F.length(F.element_at(found[p], 1)))
+              for p in uniq}
+    wanted = [n for n in names if patterns.get(n)]
+    df = df.select("*", *[pairs[p].alias(f"__p{i}") for i, p in enumerate(uniq)],
+                   *[F.coalesce(*[firsts[p] for p in patterns[n]]).alias(f"__s_{n}") for n in wanted])
     cols = []
     for name in names:
-        if name not in patterns or not patterns[name]:
+        if name not in wanted:
             cols.append(F.lit("").alias(prefix + name))
             continue
-        st = F.coalesce(*[F.col(ends[p]) for p in patterns[name]])
-        later = [F.try_element_at(F.filter(tmp[p], lambda s: s > st), F.lit(1)) for p in uniq]
+        st = F.col(f"__s_{name}")
+        later = [_later_start(F.col(f"__p{i}"), st) for i in range(len(uniq))]
         end = F.coalesce(F.least(*later) if len(later) > 1 else later[0], F.length(text))
         body = strip_ws(F.substring(text, st + 1, end - st))
         cols.append(F.when(st.isNull(), F.lit("")).otherwise(body).alias(prefix + name))
-    return df.select("*", *cols).drop(*tmp.values(), *ends.values())
-
-
-def parse_sections(text, patterns: dict[str, list[str]] | None = None) -> Column:
-    """``struct<skills, experience, education, projects, raw_text>``."""
-    text = F.col(text) if isinstance(text, str) else text
-    cols = section_columns(text, patterns)
-    return F.struct(*[cols[n].alias(n) for n in SECTION_NAMES], text.alias("raw_text"))
+    extra = [*found.values(), *between.values(), *(f"__p{i}" for i in range(len(uniq))), *(f"__s_{n}" for n in wanted)]
+    return df.select("*", *cols).drop(*extra)
 
 
 # ---- SQL spelling (DuckDB) for the oracles --------------------------------

@@ -1,8 +1,8 @@
 """Vocabulary, binary skill features, TF-IDF and the train/test split.
 
 The long form (id, index) is the scalable representation; ML vectors are
-built from it only where a model needs them, with the vocabulary size
-checked first (vectors are as wide as the vocabulary).
+built from it only where a model needs them. Vectors are as wide as the
+vocabulary, whose names the driver then holds.
 """
 
 from __future__ import annotations
@@ -13,25 +13,41 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Vectors wider than this are not built (use the long form instead).
-MAX_VECTOR_WIDTH = 1 << 20
+from cvlens.session import stored
+
+# monotonically_increasing_id is the partition number above 33 bits of position.
+_POSITION_BITS = 33
+
+
+def position_offsets(at: DataFrame, at_col: str = "_at") -> DataFrame:
+    """(_part, _offset): rows in the partitions before each one; a row a partition."""
+    sizes = at.groupBy(F.shiftright(at_col, _POSITION_BITS).alias("_part")).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+
+
+def add_row_index(df: DataFrame, offsets: DataFrame, idx_col: str, at_col: str = "_at") -> DataFrame:
+    """``df`` with ``idx_col``: its partition's offset + its position, from ``at_col``."""
+    position = F.col(at_col).bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    return (df.withColumn("_part", F.shiftright(at_col, _POSITION_BITS)).join(offsets, "_part")
+            .withColumn(idx_col, F.col("_offset") + position).drop("_part", "_offset", at_col))
 
 
 def _indexed(df: DataFrame, order_col: str, idx_col: str) -> DataFrame:
-    """Attach a 0-based global rank by ``order_col`` without a single-task window.
+    """Attach a 0-based global rank by ``order_col`` to a narrow frame.
 
-    Range-partitioned sort, then per-partition offsets (``zipWithIndex``).
+    Range-partitioned sort, stored with its positions, then one offset per
+    partition; no row passes through Python or a single task.
     """
-    srt = df.orderBy(order_col)
-    schema = srt.schema.add(idx_col, "long")
-    return srt.rdd.zipWithIndex().map(lambda ri: tuple(ri[0]) + (ri[1],)).toDF(schema)
+    ordered = stored(df.orderBy(order_col).withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    return add_row_index(ordered, position_offsets(ordered.select("_at")), idx_col).select(*df.columns, idx_col)
 
 
 def vocabulary(resumes: DataFrame, skills_col: str = "normalized_skills") -> DataFrame:
     """(skill, idx): distinct skills in code-point order; raises when empty."""
     uniq = resumes.select(F.explode(skills_col).alias("skill")).where(F.col("skill").isNotNull()).distinct()
     if uniq.isEmpty():
-        raise ValueError("No skills found in provided resumes")
+        raise ValueError("the vocabulary is empty: no resume has a skill")
     return _indexed(uniq, "skill", "idx")
 
 
@@ -42,10 +58,8 @@ def feature_long(resumes: DataFrame, vocab: DataFrame, skills_col: str = "normal
     return s.join(vocab, "skill").select(id_col, "idx")
 
 
-def vocabulary_list(vocab: DataFrame, max_width: int = MAX_VECTOR_WIDTH) -> list[str]:
-    n = vocab.limit(max_width + 1).count()
-    if n > max_width:
-        raise ValueError(f"vocabulary of more than {max_width} skills: use the long form")
+def vocabulary_list(vocab: DataFrame) -> list[str]:
+    """The skill names in index order, on the driver: as long as the vectors built with them are wide."""
     return [r[0] for r in vocab.orderBy("idx").select("skill").collect()]
 
 
@@ -59,11 +73,13 @@ def skill_vectors(resumes: DataFrame, vocab_list: list[str], skills_col: str = "
 
 # ---- text features ------------------------------------------------------------
 
+TOKEN = r"[\p{L}\p{N}_]{2,}"
+
+
 def tokens(text) -> Column:
-    """Lower-cased runs of [a-z0-9_] of length >= 2 (our ASCII token rule)."""
+    """Lower-cased runs of at least two letters, digits or ``_``, in any script."""
     t = F.col(text) if isinstance(text, str) else text
-    spaced = F.regexp_replace(F.lower(F.coalesce(t, F.lit(""))), "[^a-z0-9_]+", " ")
-    return F.regexp_extract_all(spaced, F.lit("[a-z0-9_]{2,}"), 0)
+    return F.regexp_extract_all(F.lower(F.coalesce(t, F.lit(""))), F.lit(TOKEN), 0)
 
 
 def tfidf_long(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,12 +100,21 @@ def split_train_test(df: DataFrame, id_col: str = "resume_id", test_size: float
                      seed: int = 42) -> DataFrame:
     """Add ``split``: the ceil(n * test_size) rows with the smallest md5(seed:id) are test.
 
-    Exact size and repeatable in any SQL engine (not numpy's permutation).
+    Exact size and repeatable in any SQL engine (not numpy's permutation); rows
+    of one id go to one side. The hash at rank k is found by counting hashes by
+    prefix (at most 65,536 counts) and ranking the one prefix that holds it;
+    rows are then compared with it where they are.
     """
     if not 0 < test_size < 1:
         raise ValueError("test_size must be in (0, 1)")
-    n = df.count()
-    k = math.ceil(n * test_size)
-    h = df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))))
-    ranked = _indexed(h, "_h", "_rank")
-    return ranked.withColumn("split", F.when(F.col("_rank") < k, "test").otherwise("train")).drop("_h", "_rank")
+    hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    h = df.select(hashed.alias("_h"))
+    upto = Window.orderBy("_p")
+    counts = (h.groupBy(F.substring("_h", 1, 4).alias("_p")).agg(F.count("*").alias("_n"))
+              .select("_p", "_n", F.sum("_n").over(upto).alias("_upto"), F.sum("_n").over(Window.partitionBy()).alias("_all")))
+    holder = counts.where(F.col("_upto") >= F.ceil(F.col("_all") * F.lit(test_size))).orderBy("_p").first()
+    if holder is None:
+        return df.withColumn("split", F.lit("train"))
+    rank = math.ceil(holder["_all"] * test_size) - (holder["_upto"] - holder["_n"])
+    last = h.where(F.substring("_h", 1, 4) == holder["_p"]).orderBy("_h").limit(rank).agg(F.max("_h")).first()[0]
+    return df.withColumn("split", F.when(hashed <= F.lit(last), "test").otherwise("train"))

@@ -21,13 +21,14 @@ from pyspark.sql import functions as F
 
 from cvlens.functions.predicates import is_noise_skill
 from cvlens.functions.text import strip_ws
+from cvlens.session import stored
 
 KEY_SEP = "\u0001"
 
 
 def _check_threshold(name: str, value: float) -> None:
     if not 0 < value <= 1:
-        raise ValueError(f"{name} must be in range (0, 1]")
+        raise ValueError(f"{name} is a share above 0 and at most 1")
 
 
 _TAG = "struct<k:string,idx:int,w:string>"
@@ -44,7 +45,7 @@ def first_spelling(items: Column) -> Column:
     prev = F.concat(F.array(F.lit(None).cast(_TAG)),
                     F.slice(srt, 1, F.greatest(F.size(srt) - 1, F.lit(0))))
     firsts = F.filter(
-        F.zip_with(srt, prev, lambda c, p: F.when(p.isNull() | (p["k"] != c["k"]),
+        F.zip_with(srt, prev, lambda c, p: F.when(c.isNotNull() & (p.isNull() | (p["k"] != c["k"])),
                                                    F.struct(c["idx"].alias("idx"), c["w"].alias("w")))),
         lambda x: x.isNotNull())
     return F.transform(F.array_sort(firsts), lambda x: x["w"])
@@ -57,33 +58,9 @@ def clean_transaction(items: Column) -> Column:
     return first_spelling(kept)
 
 
-def transactions_long(resumes: DataFrame, skills_col: str, id_col: str = "resume_id",
-                      clean: bool = True) -> DataFrame:
-    """The same result as ``transactions`` for long item lists (whole texts).
-
-    Items are exploded so filtering and stripping run as generated code;
-    the first position per (id, key) is a partial aggregate (a hot key is
-    combined before the shuffle); one regroup per id restores the order.
-    """
-    long = resumes.select(F.col(id_col).alias("resume_id"), F.posexplode(skills_col).alias("pos", "item"))
-    long = long.where(F.col("item").isNotNull())
-    if clean:
-        long = long.withColumn("item", strip_ws("item")).where(~is_noise_skill("item", stripped=True))
-        key = F.lower("item")
-    else:
-        key = F.col("item")
-    firsts = (long.groupBy("resume_id", key.alias("_k"))
-              .agg(F.min_by("item", "pos").alias("item"), F.min("pos").alias("pos")))
-    return (firsts.groupBy("resume_id")
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "item"))).alias("_s"))
-            .select("resume_id", F.transform("_s", lambda x: x["item"]).alias("items")))
-
-
 def transactions(resumes: DataFrame, skills_col: str = "normalized_skills",
-                 id_col: str = "resume_id", clean: bool = True, long_lists: bool = False) -> DataFrame:
-    """(id, items) for every resume whose cleaned skill list is non-empty."""
-    if long_lists:
-        return transactions_long(resumes, skills_col, id_col, clean)
+                 id_col: str = "resume_id", clean: bool = True) -> DataFrame:
+    """(id, items) for every resume whose cleaned skill list is non-empty; row by row, without a shuffle."""
     items = F.coalesce(F.col(skills_col), F.array().cast("array<string>"))
     items = clean_transaction(items) if clean else F.array_distinct(items)
     return (resumes.select(F.col(id_col).alias("resume_id"), items.alias("items"))
@@ -93,7 +70,7 @@ def transactions(resumes: DataFrame, skills_col: str = "normalized_skills",
 def effective_min_support(min_support: float, n_transactions: int) -> float:
     """Raise the support floor so that an itemset needs at least two baskets."""
     if n_transactions <= 0:
-        raise ValueError("transaction_count must be positive")
+        raise ValueError("support of no transactions is undefined")
     return max(min_support, min(1.0, 2.0 / n_transactions))
 
 
@@ -173,9 +150,10 @@ def mine_associations(resumes: DataFrame, min_support: float = 0.1, min_confiden
     if n == 0:
         tx.unpersist()
         if resumes.isEmpty():
-            raise ValueError("Resumes list cannot be empty")
-        raise ValueError("No valid transactions found. Ensure resumes have normalized_skills.")
+            raise ValueError("no resumes to mine")
+        raise ValueError("no resume has a skill left after cleaning")
     sets, n, eff = frequent_itemsets(tx, min_support, n, num_partitions)
-    sets = sets.persist(StorageLevel.MEMORY_AND_DISK)
+    sets = stored(sets, "itemsets")
+    tx.unpersist()
     rules = association_rules(sets, n, min_confidence)
     return MiningResult(sets, rules, n, eff)

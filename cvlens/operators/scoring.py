@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cvlens.operators.joins import broadcast_if_small
 
 JOB_SCHEMA = ("job_title string, job_category string, required_skills array<string>, "
               "preferred_skills array<string>, experience_years int, education string, "
@@ -44,8 +43,7 @@ def cosine(a, b) -> Column:
 def match_jobs(resumes: DataFrame, jobs: DataFrame, skills_col: str = "normalized_skills",
                category_col: str = "category") -> DataFrame:
     """(resume_id, job_title, ats_score) for each resume and each job of its category."""
-    j = broadcast_if_small(jobs.select("job_title", F.col("job_category").alias(category_col),
-                                       "required_skills"))
+    j = jobs.select("job_title", F.col("job_category").alias(category_col), "required_skills")
     return (resumes.join(j, category_col)
             .select("resume_id", "job_title", ats_score(skills_col, "required_skills").alias("ats_score")))
 

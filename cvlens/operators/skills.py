@@ -12,20 +12,23 @@ it by design; see README.
 Normalisation (P8) works on **distinct** skill strings only:
 exact alias on ``lower(strip(skill))`` (J1), else the best canonical name by
 indel similarity >= cutoff (J2, ties -> smallest name), else ``lower(strip)``;
-a blank skill becomes ''. Fuzzy candidates come from an equi-join on the
-admissible lengths against the (size-checked, broadcast) canonical names.
+a blank skill becomes ''.
+
+Fuzzy candidates: strings that reach the cutoff are at most d edits apart, with
+d known from the two lengths. Of a name cut into d + 1 pieces, one is in the
+skill unchanged, moved by no more places than insertions and deletions allow.
+So an equi-join on (both lengths, piece number, piece) finds all candidates;
+Levenshtein distance, never above the indel distance, prunes them on the JVM,
+and only what is left is scored.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cvlens.functions.fuzzy import admissible_lengths, indel_similarity
+from cvlens.functions.fuzzy import admissible_lengths, edit_bound, indel_similarity
 from cvlens.functions.text import strip_ws
-from cvlens.operators.joins import BROADCAST_MAX_ROWS, bounded_rows
 
 ITEM_SPLIT = r"[,;\n|]"
 
@@ -39,21 +42,25 @@ def explicit_skills(skills_section) -> Column:
     return F.array_distinct(F.filter(cands, lambda s: F.length(s) > 1))
 
 
-_TERM_OK = re.compile(r"^[a-z0-9](?:[a-z0-9 ./\-]*[a-z0-9])?$")
+def usable_terms(terms) -> list[str]:
+    """Lower-cased, stripped, distinct dictionary terms."""
+    return sorted({t.strip().lower() for t in terms if t and t.strip()})
 
 
-def usable_terms(terms) -> list[str]:
-    """Lower-cased dictionary terms that can occur in cleaned text with word edges."""
-    out = {t.strip().lower() for t in terms if t and t.strip()}
-    return sorted(t for t in out if _TERM_OK.match(t))
+def _is_word(ch: str) -> bool:
+    return ch.isascii() and (ch.isalnum() or ch == "_")
 
 
 def _esc(ch: str) -> str:
-    return ch if ch.isalnum() or ch == " " else "\\" + ch
+    return ch if _is_word(ch) or ch == " " or not ch.isascii() else "\\" + ch
 
 
 def term_pattern(terms) -> str:
-    """``\\b(<trie of terms>)\\b``: at a word start the longest term is tried first."""
+    """One trie-shaped group: at each place the longest term is tried first.
+
+    A term ends and begins at a word boundary where its own edge is a word
+    character (``java``), and away from one where it is not (``.net``, ``c++``).
+    """
     trie: dict = {}
     for t in usable_terms(terms):
         node = trie
@@ -61,14 +68,14 @@ def term_pattern(terms) -> str:
             node = node.setdefault(ch, {})
         node[""] = {}
 
-    def emit(node: dict) -> str:
-        alts = [_esc(ch) + emit(child) for ch, child in sorted(node.items()) if ch != ""]
-        if not alts:
-            return ""
-        body = "(?:" + "|".join(alts) + ")"
-        return body + "?" if "" in node else body
+    def emit(node: dict, last: str) -> str:
+        alts = [_esc(ch) + emit(child, ch) for ch, child in sorted(node.items()) if ch != ""]
+        if "" in node:
+            alts.append(r"\b" if _is_word(last) else r"\B")
+        return alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
 
-    return r"\b(" + emit(trie) + r")\b"
+    heads = [(r"\b" if _is_word(ch) else r"\B") + _esc(ch) + emit(child, ch) for ch, child in sorted(trie.items())]
+    return "(" + "|".join(heads) + ")"
 
 
 def implicit_skills(text, terms) -> Column:
@@ -85,33 +92,55 @@ def skill_set(explicit: Column, implicit: Column) -> Column:
     return F.struct(explicit.alias("explicit_skills"), implicit.alias("implicit_skills"))
 
 
-def dictionary_terms(aliases: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> list[str]:
-    """Alias keys and canonical names of a size-checked dictionary (driver side)."""
-    if bounded_rows(aliases, max_rows) is None:
-        raise ValueError(f"alias dictionary larger than {max_rows} rows")
+def dictionary_terms(aliases: DataFrame) -> list[str]:
+    """Alias keys and canonical names, on the driver: they become one pattern."""
     rows = aliases.select("alias", "canonical").collect()
     return [r[0] for r in rows] + [r[1] for r in rows]
 
 
-def skill_mapping(skills: DataFrame, aliases: DataFrame, cutoff: float = 85.0,
-                  skill_col: str = "skill") -> DataFrame:
-    """(skill, normalized, method, score) for every distinct stripped skill."""
+def exact_mapping(skills: DataFrame, aliases: DataFrame, skill_col: str = "skill") -> DataFrame:
+    """(skill, exact) for every distinct stripped skill; exact is null without an alias."""
     uniq = (skills.select(strip_ws(F.col(skill_col)).alias("skill"))
             .where(F.col("skill").isNotNull() & (F.col("skill") != "")).distinct())
     # one canonical per alias key (a JSON object cannot repeat keys; be safe)
     alias = aliases.groupBy("alias").agg(F.min("canonical").alias("exact"))
-    canon = (aliases.select("canonical").distinct()
-             .withColumn("clen", F.length("canonical")))
-    small = bounded_rows(aliases) is not None
-    if small:
-        alias, canon = F.broadcast(alias), F.broadcast(canon)
-    exact = uniq.join(alias, F.lower(uniq["skill"]) == alias["alias"], "left").drop("alias")
+    return uniq.join(alias, F.lower(uniq["skill"]) == alias["alias"], "left").drop("alias")
+
+
+def fuzzy_candidates(skills: DataFrame, names: DataFrame, cutoff: float) -> DataFrame:
+    """(skill, canonical) pairs that may reach ``cutoff``; every pair that does is among them."""
+    la, lb, d = F.col("la"), F.col("lb"), F.col("d")
+    start = F.floor(F.col("i") * lb / (d + 1)).cast("int")
+    width = F.floor((F.col("i") + 1) * lb / (d + 1)).cast("int") - F.col("start")
+
+    def pieces(df: DataFrame, own: str, other: str) -> DataFrame:
+        return (df.withColumn(other, F.explode(admissible_lengths(F.col(own), cutoff)))
+                .withColumn("d", edit_bound(la, lb, cutoff)).where(F.abs(la - lb) <= d)
+                .withColumn("i", F.explode(F.sequence(F.lit(0), d)))
+                .withColumn("start", start).withColumn("width", width))
+
+    theirs = (pieces(names.withColumn("lb", F.length("canonical")), "lb", "la")
+              .select("canonical", "la", "lb", "i", F.col("canonical").substr(F.col("start") + 1, F.col("width")).alias("piece")))
+    deleted = F.floor((d - la + lb) / 2).cast("int")
+    inserted = F.floor((d + la - lb) / 2).cast("int")
+    ours = (pieces(skills.withColumn("la", F.length("skill")), "la", "lb")
+            .withColumn("at", F.explode(F.sequence(F.col("start") - deleted, F.col("start") + inserted)))
+            .where((F.col("at") >= 0) & (F.col("at") + F.col("width") <= la))
+            .select("skill", "la", "lb", "i", F.col("skill").substr(F.col("at") + 1, F.col("width")).alias("piece")).distinct())
+    pairs = ours.join(theirs, ["la", "lb", "i", "piece"]).select("skill", "canonical", "la", "lb").distinct()
+    return (pairs.where(F.levenshtein("skill", "canonical") <= edit_bound(la, lb, cutoff))
+            .select("skill", "canonical"))
+
+
+def skill_mapping(skills: DataFrame, aliases: DataFrame, cutoff: float = 85.0,
+                  skill_col: str = "skill") -> DataFrame:
+    """(skill, normalized, method, score) for every distinct stripped skill."""
+    exact = exact_mapping(skills, aliases, skill_col)
     unmatched = exact.where(F.col("exact").isNull()).select("skill")
-    cands = (unmatched.select("skill", F.explode(admissible_lengths(F.length("skill"), cutoff)).alias("clen"))
-             .join(canon, "clen")
-             .withColumn("sim", indel_similarity(F.col("skill"), F.col("canonical")))
-             .where(F.col("sim") >= F.lit(cutoff / 100.0)))
-    best = cands.groupBy("skill").agg(
+    scored = (fuzzy_candidates(unmatched, aliases.select("canonical").distinct(), cutoff)
+              .withColumn("sim", indel_similarity(F.col("skill"), F.col("canonical")))
+              .where(F.col("sim") >= F.lit(cutoff / 100.0)))
+    best = scored.groupBy("skill").agg(
         F.min_by(F.struct("canonical", "sim"), F.struct(-F.col("sim"), F.col("canonical"))).alias("b"))
     out = exact.join(best, "skill", "left")
     return out.select(
@@ -123,16 +152,17 @@ def skill_mapping(skills: DataFrame, aliases: DataFrame, cutoff: float = 85.0,
 
 
 def normalize_skills(df: DataFrame, aliases: DataFrame, skills_col: str = "skills",
-                     id_col: str = "resume_id", cutoff: float = 85.0,
-                     out_col: str = "normalized_skills") -> DataFrame:
-    """Add ``out_col``: the normalised list, same order and length as ``skills_col``."""
-    long = df.select(id_col, F.posexplode(skills_col).alias("pos", "raw"))
-    mapping = skill_mapping(long.withColumnRenamed("raw", "skill"), aliases, cutoff)
-    mapped = (long.withColumn("skill", strip_ws("raw"))
-              .join(mapping.select("skill", "normalized"), "skill", "left")
-              .select(id_col, "pos", F.coalesce("normalized", F.lit("")).alias("n")))
-    lists = (mapped.groupBy(id_col)
-             .agg(F.array_sort(F.collect_list(F.struct("pos", "n"))).alias("_l"))
-             .select(id_col, F.transform("_l", lambda x: x["n"]).alias(out_col)))
-    return (df.join(lists, id_col, "left")
+                     cutoff: float = 85.0, out_col: str = "normalized_skills") -> DataFrame:
+    """Add ``out_col``: each row's normalised list, same order and length as ``skills_col``.
+
+    Lists are taken apart once per distinct list and joined back by the list
+    itself, so rows that share an id keep their own lists.
+    """
+    lists = df.select(F.col(skills_col).alias("_list")).where(F.size("_list") > 0).distinct()
+    long = lists.select("_list", F.posexplode("_list").alias("pos", "raw")).withColumn("skill", strip_ws("raw"))
+    mapping = skill_mapping(long, aliases, cutoff).select("skill", "normalized")
+    done = (long.join(mapping, "skill", "left").select("_list", "pos", F.coalesce("normalized", F.lit("")).alias("n"))
+            .groupBy("_list").agg(F.array_sort(F.collect_list(F.struct("pos", "n"))).alias("_l"))
+            .select("_list", F.transform("_l", lambda x: x["n"]).alias(out_col)))
+    return (df.join(done, df[skills_col] == done["_list"], "left").drop("_list")
             .withColumn(out_col, F.coalesce(out_col, F.array().cast("array<string>"))))

@@ -41,25 +41,32 @@ def extraction_report(pairs: DataFrame, csv_text: str = "csv_text", pdf_text: st
 
 
 def pair_validation(pairs: DataFrame, id_col: str = "resume_id", pdf_text: str = "pdf_text",
-                    csv_text: str = "csv_text") -> DataFrame:
+                    csv_text: str = "csv_text", error_col: str | None = None) -> DataFrame:
     """Per pair: cleaned lengths, length ratio, word containment, success.
 
     Success is decided on unrounded values (ratio in [0.7, 1.3] and
     containment >= 0.6); the reported ratio and similarity are rounded to 3
-    places, half to even like Python's ``round``.
+    places, half to even like Python's ``round``. With an ``error_col``, a pair
+    whose extraction failed is a row of zeros with the raw length of the CSV
+    text, no success, and its ``error``.
     """
     pc, cc = clean_text(pdf_text), clean_text(csv_text)
     pw = F.array_distinct(split_words(F.lower(pc)))
     cw = F.array_distinct(split_words(F.lower(cc)))
-    df = pairs.select(F.col(id_col), F.length(pc).alias("pdf_length"), F.length(cc).alias("csv_length"),
+    error = F.col(error_col) if error_col else F.lit(None).cast("string")
+    df = pairs.select(F.col(id_col), error.alias("error"), F.length(F.coalesce(F.col(csv_text), F.lit(""))).alias("_raw"), F.length(pc).alias("pdf_length"), F.length(cc).alias("csv_length"),
                       F.size(F.array_intersect(pw, cw)).alias("_hit"), F.size(cw).alias("_cw"))
     ratio = F.when(F.col("csv_length") > 0, F.col("pdf_length") / F.col("csv_length")).otherwise(0.0)
     sim = F.when(F.col("_cw") > 0, F.col("_hit") / F.col("_cw")).otherwise(0.0)
     df = df.withColumn("_ratio", ratio).withColumn("_sim", sim)
-    return df.select(
-        id_col, "pdf_length", "csv_length",
-        F.bround("_ratio", 3).alias("length_ratio"), F.bround("_sim", 3).alias("text_similarity"),
-        (F.col("_ratio").between(0.7, 1.3) & (F.col("_sim") >= 0.6)).alias("extraction_success"))
+    failed = F.col("error").isNotNull()
+    out = df.select(
+        id_col, F.when(failed, 0).otherwise(F.col("pdf_length")).alias("pdf_length"),
+        F.when(failed, F.col("_raw")).otherwise(F.col("csv_length")).alias("csv_length"),
+        F.when(failed, 0.0).otherwise(F.bround("_ratio", 3)).alias("length_ratio"),
+        F.when(failed, 0.0).otherwise(F.bround("_sim", 3)).alias("text_similarity"),
+        (~failed & F.col("_ratio").between(0.7, 1.3) & (F.col("_sim") >= 0.6)).alias("extraction_success"), "error")
+    return out if error_col else out.drop("error")
 
 
 def archive_validation(details: DataFrame) -> DataFrame:

@@ -257,6 +257,20 @@ def q_pair_validation(spark, sf):
     return V.pair_validation(archive_pairs(spark, sf))
 
 
+# One labelled document in seven fails to extract: zeros, the raw length, the error.
+@register("failed_pairs", f"""WITH {_pair_sql()},
+m AS (SELECT pv.*, length(d.text) AS raw, pv.resume_id % 7 = 0 AS bad FROM pv JOIN documents d ON d.doc_id = pv.resume_id)
+SELECT resume_id, CASE WHEN bad THEN 0 ELSE CAST(pdf_length AS INTEGER) END AS pdf_length,
+  CAST(CASE WHEN bad THEN raw ELSE csv_length END AS INTEGER) AS csv_length,
+  CASE WHEN bad THEN 0.0 ELSE round_even(r, 3) END AS length_ratio, CASE WHEN bad THEN 0.0 ELSE round_even(s, 3) END AS text_similarity,
+  NOT bad AND r BETWEEN 0.7 AND 1.3 AND s >= 0.6 AS extraction_success, CASE WHEN bad THEN 'no text' END AS error FROM m""")
+def q_failed_pairs(spark, sf):
+    p = archive_pairs(spark, sf)
+    bad = F.col("resume_id") % 7 == 0
+    p = p.withColumns({"error": F.when(bad, "no text"), "pdf_text": F.when(~bad, F.col("pdf_text"))})
+    return V.pair_validation(p, error_col="error")
+
+
 @register("archive_validation", f"""WITH {_pair_sql()},
 d AS (SELECT round_even(r, 3) AS lr, round_even(s, 3) AS ts, r BETWEEN 0.7 AND 1.3 AND s >= 0.6 AS ok FROM pv)
 SELECT CAST(count(*) AS BIGINT) AS total_validated, CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS successful_extractions,
@@ -284,6 +298,21 @@ def q_source_align(spark, sf):
     return cust.join(last, "c_custkey").orderBy("c_custkey")
 
 
+# Both sides hold ids more than once: the last order and the last event-like line of each customer.
+@register("source_align_both", """
+WITH o AS (SELECT o_custkey AS k, o_orderkey, o_orderdate FROM orders),
+a AS (SELECT k, o_orderkey AS last_order FROM o QUALIFY row_number() OVER (PARTITION BY k ORDER BY o_orderdate DESC, o_orderkey DESC) = 1),
+b AS (SELECT k, o_orderkey AS largest_order, o_totalprice FROM (SELECT o_custkey AS k, o_orderkey, o_totalprice FROM orders)
+      QUALIFY row_number() OVER (PARTITION BY k ORDER BY o_totalprice DESC, o_orderkey DESC) = 1)
+SELECT a.k, last_order, largest_order FROM a JOIN b ON a.k = b.k""")
+def q_source_align_both(spark, sf):
+    o = table(spark, sf, "orders")
+    a = o.select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("last_order"), F.struct("o_orderdate", "o_orderkey").alias("_a"))
+    b = o.select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("largest_order"), F.struct("o_totalprice", "o_orderkey").alias("_b"))
+    V.require_overlap(V.unmatched_counts(a, b, "k"))
+    return V.align_sources(a, b, "k", "_a", "_b").select("k", "last_order", "largest_order")
+
+
 @register("unmatched_counts", """
 WITH a AS (SELECT DISTINCT c_custkey AS k FROM customer), b AS (SELECT DISTINCT o_custkey AS k FROM orders)
 SELECT CAST(count(*) FILTER (WHERE a.k IS NOT NULL AND b.k IS NOT NULL) AS BIGINT) AS matched,

@@ -21,14 +21,9 @@ MIN_SUPPORT = 0.1
 # registered queries ask for 0.4 (90 rules at every scale).
 MIN_CONFIDENCE = 0.4
 
-_cache: dict = {}
-
 
 def _mined(spark, sf):
-    key = (id(spark), sf)
-    if key not in _cache:
-        _cache[key] = mine_associations(order_baskets(spark, sf), MIN_SUPPORT, MIN_CONFIDENCE)
-    return _cache[key]
+    return mine_associations(order_baskets(spark, sf), MIN_SUPPORT, MIN_CONFIDENCE)
 
 
 _TX_SQL = f"""
@@ -123,7 +118,7 @@ FROM f GROUP BY doc_id""")
 def q_clean_transactions(spark, sf):
     docs = documents(spark, sf).select(
         "doc_id", split_words(clean_text("text")).alias("words"))
-    tx = transactions(docs, "words", "doc_id", clean=True, long_lists=True)
+    tx = transactions(docs, "words", "doc_id", clean=True)
     return tx.select(F.col("resume_id").alias("doc_id"), F.array_join("items", "|").alias("items"),
                      F.size("items").cast("long").alias("n_items"))
 
@@ -135,6 +130,6 @@ FROM f GROUP BY doc_id""")
 def q_dedupe_only(spark, sf):
     docs = documents(spark, sf).select(
         "doc_id", split_words(clean_text("text")).alias("words"))
-    tx = transactions(docs, "words", "doc_id", clean=False, long_lists=True)
+    tx = transactions(docs, "words", "doc_id", clean=False)
     return tx.select(F.col("resume_id").alias("doc_id"), F.array_join("items", "|").alias("items"),
                      F.size("items").cast("long").alias("n_items"))

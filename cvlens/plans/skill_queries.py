@@ -6,39 +6,27 @@ plus rule-built entries from ``part`` (see ``sources.aliases.part_aliases``).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from cvlens.functions.fuzzy import similarity_sql
-from cvlens.functions.sections import add_sections, section_sql
-from cvlens.functions.text import clean_text, clean_text_sql, strip_ws_sql
-from cvlens.operators.skills import (ITEM_SPLIT, dictionary_terms, explicit_skills, implicit_skills,
-                                     normalize_skills, skill_mapping)
+from cvlens.functions.sections import section_sql
+from cvlens.functions.text import clean_text_sql, strip_ws_sql
+from cvlens.operators.resumes import extract_skills
+from cvlens.operators.skills import ITEM_SPLIT, exact_mapping, normalize_skills, skill_mapping
 from cvlens.plans.registry import r6, register
+from cvlens.session import stored
 from cvlens.sources.aliases import part_aliases, part_aliases_sql
 from cvlens.sources.tables import document_resumes, document_resumes_sql
 
 CUTOFF = 85.0
-_cache: dict = {}
 
 
 def resume_skills(spark, sf):
-    """(resume_id, category, explicit_skills, implicit_skills, skills) per document resume."""
-    key = (id(spark), sf)
-    if key in _cache:
-        return _cache[key]
+    """(resume_id, category, explicit_skills, implicit_skills, skills) per document resume, and the aliases."""
     aliases = part_aliases(spark, sf)
-    terms = dictionary_terms(aliases)
-    r = document_resumes(spark, sf).select("resume_id", "category", clean_text("resume_str").alias("clean"))
-    sec = add_sections(r, "clean", names=["skills", "experience", "projects"])
-    df = sec.select("resume_id", "category",
-                    explicit_skills("skills").alias("explicit_skills"),
-                    implicit_skills(F.concat_ws("\n", "experience", "projects"), terms)
-                    .alias("implicit_skills"))
-    df = df.withColumn("skills", F.concat("explicit_skills", "implicit_skills"))
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _cache[key] = (df, aliases)
-    return df, aliases
+    df = extract_skills(document_resumes(spark, sf), aliases)
+    # stored, or filters on the lists would be pushed below the section search and repeat it
+    return stored(df.select("resume_id", "category", "explicit_skills", "implicit_skills", "skills"), "skills"), aliases
 
 
 def _distinct_in_order(col: str) -> str:
@@ -47,8 +35,10 @@ def _distinct_in_order(col: str) -> str:
 
 _TERMS_SQL = f"""terms AS (SELECT DISTINCT lower(trim(t)) AS term FROM (
     SELECT alias AS t FROM {part_aliases_sql()} UNION ALL SELECT canonical FROM {part_aliases_sql()})
-  WHERE regexp_full_match(lower(trim(t)), '[a-z0-9](?:[a-z0-9 ./\\-]*[a-z0-9])?')),
-pat AS (SELECT '\\b(' || string_agg(regexp_escape(term), '|' ORDER BY length(term) DESC, term) || ')\\b' AS p
+  WHERE trim(t) <> ''),
+pat AS (SELECT '(' || string_agg(
+    CASE WHEN regexp_matches(term, '^[a-z0-9_]') THEN '\\b' ELSE '\\B' END || regexp_escape(term) ||
+    CASE WHEN regexp_matches(term, '[a-z0-9_]$') THEN '\\b' ELSE '\\B' END, '|' ORDER BY length(term) DESC, term) || ')' AS p
   FROM terms)"""
 
 _ITEM = ("lambda p: " + strip_ws_sql("regexp_replace(regexp_replace(" + strip_ws_sql("p")
@@ -107,36 +97,39 @@ mapping AS (SELECT e.skill, coalesce(e.exact, b.canonical, lower(e.skill)) AS no
   FROM ex e LEFT JOIN best b ON e.skill = b.skill)"""
 
 
-def _mapping(spark, sf):
+def _skills_long(spark, sf):
     df, aliases = resume_skills(spark, sf)
-    long = df.select(F.explode("skills").alias("skill"))
-    return skill_mapping(long, aliases, CUTOFF)
+    return df.select(F.explode("skills").alias("skill")), aliases
 
 
 @register("alias_exact", f"""WITH {SKILLS_SQL}, {_UNIQ_SQL}
 SELECT skill, exact FROM ex""")
 def q_alias_exact(spark, sf):
-    m = _mapping(spark, sf)
-    return m.select("skill", F.when(F.col("method") == "exact", F.col("normalized")).alias("exact"))
+    return exact_mapping(*_skills_long(spark, sf)).select("skill", "exact")
 
 
 @register("alias_fuzzy", f"""WITH {SKILLS_SQL}, {_UNIQ_SQL}
 SELECT skill, normalized, round(score, 6) AS score FROM mapping WHERE method = 'fuzzy'""")
 def q_alias_fuzzy(spark, sf):
-    m = _mapping(spark, sf)
+    m = skill_mapping(*_skills_long(spark, sf), CUTOFF)
     return m.where(F.col("method") == "fuzzy").select("skill", "normalized", r6("score").alias("score"))
 
 
+# Each resume has its own list and, under the same id, its explicit skills again: lists are normalised row by row.
 @register("normalize_skills", f"""WITH {SKILLS_SQL}, {_UNIQ_SQL},
-lg AS (SELECT resume_id, unnest(list_concat(explicit_skills, implicit_skills)) AS raw,
-         generate_subscripts(list_concat(explicit_skills, implicit_skills), 1) AS pos FROM k),
-mp AS (SELECT lg.resume_id, lg.pos, coalesce(m.normalized, '') AS n FROM lg
+rows AS (SELECT resume_id, 0 AS part, list_concat(explicit_skills, implicit_skills) AS skills FROM k
+         UNION ALL SELECT resume_id, 1, explicit_skills FROM k),
+lg AS (SELECT resume_id, part, unnest(skills) AS raw, generate_subscripts(skills, 1) AS pos FROM rows),
+mp AS (SELECT lg.resume_id, lg.part, lg.pos, coalesce(m.normalized, '') AS n FROM lg
        LEFT JOIN mapping m ON {strip_ws_sql('lg.raw')} = m.skill)
-SELECT k.resume_id, coalesce(x.normalized, '') AS normalized_skills, CAST(coalesce(x.cnt, 0) AS INTEGER) AS n_skills
-FROM k LEFT JOIN (SELECT resume_id, string_agg(n, '|' ORDER BY pos) AS normalized, count(*) AS cnt
-                  FROM mp GROUP BY resume_id) x ON k.resume_id = x.resume_id""")
+SELECT k.resume_id, CAST(k.part AS INTEGER) AS part, coalesce(x.normalized, '') AS normalized_skills,
+  CAST(coalesce(x.cnt, 0) AS INTEGER) AS n_skills
+FROM rows k LEFT JOIN (SELECT resume_id, part, string_agg(n, '|' ORDER BY pos) AS normalized, count(*) AS cnt
+                       FROM mp GROUP BY resume_id, part) x ON k.resume_id = x.resume_id AND k.part = x.part""")
 def q_normalize_skills(spark, sf):
     df, aliases = resume_skills(spark, sf)
-    out = normalize_skills(df, aliases, "skills", "resume_id", CUTOFF)
-    return out.select("resume_id", F.array_join("normalized_skills", "|").alias("normalized_skills"),
+    both = df.select("resume_id", F.explode(F.array(F.struct(F.lit(0).alias("part"), F.col("skills").alias("skills")),
+                                                    F.struct(F.lit(1).alias("part"), F.col("explicit_skills").alias("skills")))).alias("r"))
+    out = normalize_skills(both.select("resume_id", "r.part", "r.skills"), aliases, "skills", CUTOFF)
+    return out.select("resume_id", "part", F.array_join("normalized_skills", "|").alias("normalized_skills"),
                       F.size("normalized_skills").alias("n_skills"))

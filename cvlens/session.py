@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every cvlens job relies on. AQE re-plans joins from runtime sizes,
 # splits skewed shuffle partitions (a frequent skill or one huge category) and
@@ -89,3 +90,10 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.join("cvlens", os.path.relpath(full, root)))
     sc.addPyFile(path)
     sc._cvlens_shipped = True
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, lineage cut."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/cvlens-tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

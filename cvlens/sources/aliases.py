@@ -49,18 +49,23 @@ def alias_frame(spark: SparkSession, aliases: dict[str, str] | None = None) -> D
     return spark.createDataFrame(list(aliases.items()), ALIAS_SCHEMA)
 
 
-def load_alias_dictionary(spark: SparkSession, path: str) -> DataFrame:
+def load_alias_dictionary(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
     """Read ``{"aliases": {...}}`` or a flat ``{...}`` JSON object.
 
-    The nested key wins when present. Non-string values are dropped. A
-    missing file raises (the processor-level default is ``alias_frame``).
+    The nested key wins when present. Values that are no strings are dropped;
+    malformed JSON is an error. A missing file is an error too, or an empty
+    dictionary with ``missing_ok`` (a processor without its file).
     """
-    raw = spark.read.text(path, wholetext=True)
-    as_map = F.from_json("value", "map<string,string>")
-    nested = F.get_json_object("value", "$.aliases")
-    m = F.when(nested.isNotNull(), F.from_json(nested, "map<string,string>")).otherwise(as_map)
-    return (raw.select(F.explode(m).alias("alias", "canonical"))
-            .where(F.col("canonical").isNotNull()))
+    if missing_ok:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+            return spark.createDataFrame([], ALIAS_SCHEMA)
+    whole = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
+    inner = whole.select(F.coalesce(F.try_variant_get("v", "$.aliases", "variant"), F.col("v")).alias("v"))
+    # a map of variants keeps each value's own type
+    entries = inner.select(F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("alias", "value"))
+    return (entries.where(F.schema_of_variant("value") == "STRING")
+            .select("alias", F.variant_get("value", "$", "string").alias("canonical")))
 
 
 def part_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +81,7 @@ def part_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     types = part.select(F.lower("p_type").alias("alias"), F.initcap("p_type").alias("canonical"))
     names = part.select(F.regexp_replace("p_name", " ", "").alias("alias"),
-                        F.concat(F.upper(F.substring("p_name", 1, 1)), F.substring("p_name", 2, 1 << 20))
+                        F.concat(F.upper(F.substring("p_name", 1, 1)), F.expr("substring(p_name, 2)"))
                         .alias("canonical"))
     return alias_frame(spark).unionByName(types).unionByName(names).distinct()
 

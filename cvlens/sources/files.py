@@ -6,13 +6,14 @@ is read on the driver; file listing and decoding run as Spark scans.
 
 from __future__ import annotations
 
-import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cvlens.functions.text import decode_text
+from cvlens.operators.features import add_row_index, position_offsets
 from cvlens.session import checkpoint_dir
 
 # The CSV export's columns and the accepted file extensions.
@@ -47,9 +48,10 @@ def read_resume_csv(spark: SparkSession, path: str, with_row_index: bool = False
                     F.coalesce(F.col("Resume_str"), F.lit("")).alias("resume_str"),
                     F.lit(path).alias("source"))
     if with_row_index:
-        # enumerate rows in file order once at the scan (per-partition offsets, no single task)
-        schema_ix = df.schema.add("row_idx", "long")
-        df = df.rdd.zipWithIndex().map(lambda r: tuple(r[0]) + (r[1],)).toDF(schema_ix)
+        # rows are numbered in file order from their place in the scan; only counts are gathered
+        at = F.monotonically_increasing_id()
+        offsets = position_offsets(raw.select(at.alias("_at")))
+        df = add_row_index(df.withColumn("_at", at), offsets, "row_idx")
         df = df.withColumn("source", F.concat(F.lit("csv:"), F.col("source"), F.lit(":row_"), F.col("row_idx")))
     return df
 
@@ -59,7 +61,8 @@ def write_resume_csv(df: DataFrame, path: str) -> None:
     html = F.col("resume_html") if "resume_html" in df.columns else F.lit("")
     (df.select(F.col("resume_id").alias("ID"), F.col("resume_str").alias("Resume_str"), html.alias("Resume_html"),
                F.col("category").alias("Category"))
-     .write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path))
+     .write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def _extension(path_col) -> F.Column:
@@ -71,14 +74,28 @@ def valid_extension(path_col) -> F.Column:
     return _extension(path_col).isin(RESUME_EXTENSIONS)
 
 
+def _depth_of(spark: SparkSession, root: str) -> int:
+    """Path parts of ``root`` as the scan spells it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return len(full.rstrip("/").split("/"))
+
+
+def list_archive(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFrame:
+    """The archive's files (binaryFile columns): those exactly one folder below ``root``."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+             .load(f"{root.rstrip('/')}/*/"))
+    return files.where(F.size(F.split("path", "/")) == _depth_of(spark, root) + 2)
+
+
 def read_archive(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFrame:
     """One resume per file under ``root/<CATEGORY>/``; category = folder, id = file stem.
 
-    Only one folder level is read. PDF bytes are not decoded (text files only).
+    Only one folder level is read; plain files in the root are skipped. PDF
+    bytes are not decoded (text files only). Spark's scans leave out files of
+    no bytes, so those are no rows.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
-             .load(f"{root.rstrip('/')}/*/"))
-    return _files_to_resumes(files, category_from_path=True)
+    return _files_to_resumes(list_archive(spark, root, pattern), category_from_path=True)
 
 
 def read_flat(spark: SparkSession, directory: str, pattern: str = "*.txt") -> DataFrame:
@@ -87,10 +104,13 @@ def read_flat(spark: SparkSession, directory: str, pattern: str = "*.txt") -> Da
     return _files_to_resumes(files, category_from_path=False)
 
 
+_STEM = r"([^/]+)/([^/]+)\.[^./]+$"
+
+
 def _files_to_resumes(files: DataFrame, category_from_path: bool) -> DataFrame:
     files = files.where(valid_extension(F.col("path")))
-    name = F.regexp_extract("path", r"([^/]+)/([^/]+)\.[^./]+$", 2)
-    cat = F.regexp_extract("path", r"([^/]+)/([^/]+)\.[^./]+$", 1) if category_from_path else F.lit("UNKNOWN")
+    name = F.regexp_extract("path", _STEM, 2)
+    cat = F.regexp_extract("path", _STEM, 1) if category_from_path else F.lit("UNKNOWN")
     return files.select(name.alias("resume_id"),
                         F.coalesce(F.nullif(cat, F.lit("")), F.lit("UNKNOWN")).alias("category"),
                         decode_text("content").alias("resume_str"), F.col("path").alias("source"))
@@ -103,19 +123,57 @@ def bounded_sample(df: DataFrame, max_samples: int | None, order_col: str = "res
     return df.orderBy(order_col).limit(max_samples)
 
 
+def sample_archive(spark: SparkSession, root: str, max_samples: int | None, pattern: str = "*.txt") -> DataFrame:
+    """``read_archive`` of the first ``max_samples`` files by id: names are chosen first, only those files are read."""
+    if not max_samples:
+        return read_archive(spark, root, pattern)
+    names = list_archive(spark, root, pattern).select("path").where(valid_extension(F.col("path")))
+    first = bounded_sample(names.select("path", F.regexp_extract("path", _STEM, 2).alias("resume_id")), max_samples)
+    paths = [r["path"] for r in first.select("path").collect()]  # at most max_samples
+    if not paths:
+        return read_archive(spark, root, pattern).limit(0)
+    return _files_to_resumes(spark.read.format("binaryFile").load(paths), category_from_path=True)
+
+
+def quarantine(files: DataFrame) -> DataFrame:
+    """Every file as a row with ``_error``: null for one that can be processed, else why it is set aside.
+
+    ``files`` has path and content. Errors are rows, so one bad file stops no
+    other: no decoder for the extension, no content, binary content.
+    """
+    ext = _extension(F.col("path"))
+    error = (F.when(~valid_extension(F.col("path")), F.lit("extension not accepted"))
+             .when(ext == ".pdf", F.lit("no decoder for .pdf"))
+             .when(F.col("content").isNull() | (F.octet_length("content") == 0), F.lit("no content"))
+             .when(F.locate("\x00", F.decode(F.col("content"), "ISO-8859-1")) > 0, F.lit("binary content")))
+    return files.select(F.regexp_extract("path", _STEM, 2).alias("resume_id"), F.regexp_extract("path", _STEM, 1).alias("category"),
+                        F.when(error.isNull(), decode_text("content")).alias("resume_str"), F.col("path").alias("source"),
+                        error.alias("_error"))
+
+
+def quarantine_counts(rows: DataFrame) -> DataFrame:
+    """One row: processed, failed, total."""
+    return rows.agg(F.count_if(F.col("_error").isNull()).alias("processed"),
+                    F.count_if(F.col("_error").isNotNull()).alias("failed"), F.count("*").alias("total"))
+
+
 def write_archive(df: DataFrame, root: str, ext: str = ".txt") -> None:
     """Write each (resume_id, category, resume_str) row as root/<category>/<id><ext>.
 
-    Runs on the executors (one Python writer per partition) against a shared
-    folder; used to build test archives from tables.
+    Runs on the executors against the shared folder, through the file system
+    that the folder's URI names (file, HDFS, S3, ...).
     """
-    base = root[len("file:"):] if root.startswith("file:") else root
+    base = re.sub(r"^file:/+", "file:///", root)
 
     def write_part(rows):
+        from pyarrow import fs
+        store, folder = fs.FileSystem.from_uri(base)
+        made = set()
         for r in rows:
-            d = os.path.join(base, r["category"])
-            os.makedirs(d, exist_ok=True)
-            with open(os.path.join(d, f"{r['resume_id']}{ext}"), "w", encoding="utf-8", newline="") as fh:
-                fh.write(r["resume_str"] or "")
+            if r["category"] not in made:
+                store.create_dir(f"{folder}/{r['category']}", recursive=True)
+                made.add(r["category"])
+            with store.open_output_stream(f"{folder}/{r['category']}/{r['resume_id']}{ext}") as out:
+                out.write((r["resume_str"] or "").encode())
 
     df.select("resume_id", "category", "resume_str").foreachPartition(write_part)

@@ -61,14 +61,26 @@ def order_baskets(spark: SparkSession, sf_dir: str, item_col: str = "p_type") ->
                     F.col("items").alias("normalized_skills")))
 
 
+def _document_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(l_orderkey, names, types) of the orders that are documents, in one aggregation of their lines."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("l_orderkey"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey").join(docs, "l_orderkey", "left_semi")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    items = li.join(part, li.l_partkey == part.p_partkey).select(
+        "l_orderkey", "l_linenumber", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("p_name").alias("item")),
+                                                        F.struct(F.lit(1).alias("kind"), F.col("p_type").alias("item")))).alias("i"))
+    firsts = items.groupBy("l_orderkey", "i.kind", "i.item").agg(F.min("l_linenumber").alias("pos"))
+    lists = [F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.struct("pos", "item")))).alias(n)
+             for k, n in ((0, "names"), (1, "types"))]
+    grouped = firsts.groupBy("l_orderkey").agg(*lists)
+    return grouped.select("l_orderkey", *[F.when(F.size(n) > 0, F.transform(n, lambda x: x["item"])).alias(n) for n in ("names", "types")])
+
+
 def document_resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(resume_id, category, resume_str) with labelled sections built from the tables."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
-    names = order_items(spark, sf_dir, "p_name").withColumnRenamed("items", "names")
-    types = (order_items(spark, sf_dir, "p_type").withColumnRenamed("items", "types")
-             .withColumnRenamed("l_orderkey", "t_orderkey"))
-    j = (docs.join(names, docs.doc_id == names.l_orderkey, "left")
-         .join(types, docs.doc_id == types.t_orderkey, "left"))
+    items = _document_items(spark, sf_dir)
+    j = docs.join(items, docs.doc_id == items.l_orderkey, "left")
     text = F.concat(
         F.lit("SKILLS: "), F.coalesce(F.array_join("names", ", "), F.lit("")),
         F.lit("\nEXPERIENCE: "), F.coalesce("text", F.lit("")),

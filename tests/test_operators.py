@@ -76,7 +76,7 @@ def test_sections_boundaries(spark):
 
 def normalize(spark, skills, aliases=None, cutoff=85.0):
     df = spark.createDataFrame([("r1", skills)], "resume_id string, skills array<string>")
-    out = normalize_skills(df, alias_frame(spark, aliases), "skills", "resume_id", cutoff)
+    out = normalize_skills(df, alias_frame(spark, aliases), "skills", cutoff)
     return out.first()["normalized_skills"]
 
 
@@ -104,12 +104,12 @@ def test_indel_ratio():
 # ---- mining ----------------------------------------------------------------------
 
 def test_clean_transaction(spark):
-    items = ["name", "Name City", "state", "email", "person@example.com", "www.example.com",
-             "555-123-4567", "Python", "python", "SQL"]
-    df = spark.createDataFrame([(items,)], "s array<string>")
-    assert df.select(mining.clean_transaction(F.col("s")).alias("c")).first()["c"] == ["Python", "SQL"]
-    long = mining.transactions_long(df.withColumn("resume_id", F.lit("a")), "s")
-    assert long.first()["items"] == ["Python", "SQL"]
+    items = [None, " Rust ", "RUST", "phone", "Address ", "a.b@c.dev", "see www.site.io", "http://x", "+49 30 1234567",
+             "gleam.com tools", "Prolog", "rust", "", "prolog"]
+    df = spark.createDataFrame([("r", items), ("r", ["Zig"]), ("s", ["city"])], "resume_id string, s array<string>")
+    assert df.select(mining.clean_transaction(F.col("s")).alias("c")).first()["c"] == ["Rust", "see www.site.io", "Prolog"]
+    # rows that share an id stay apart, and what is all noise goes
+    assert sorted(tuple(r["items"]) for r in mining.transactions(df, "s").collect()) == [("Rust", "see www.site.io", "Prolog"), ("Zig",)]
 
 
 def test_effective_support():
@@ -185,7 +185,7 @@ def test_silhouette_single_cluster_and_exact(spark):
     assert K.silhouette(df, "id", "v", "c").first()["silhouette"] == 0.0
     pts = [(0, [0.0, 0.0], 0), (1, [1.0, 0.0], 0), (2, [5.0, 0.0], 1), (3, [6.0, 1.0], 1), (4, [9.0, 9.0], 2)]
     df = spark.createDataFrame(pts, "id long, v array<double>, c int")
-    got = K.silhouette(df, "id", "v", "c", block_rows=2).first()["silhouette"]
+    got = K.silhouette(df, "id", "v", "c", block_bytes=32).first()["silhouette"]
     import numpy as np
     X = np.array([p[1] for p in pts]); lab = np.array([p[2] for p in pts])
     D = np.sqrt(((X[:, None] - X[None]) ** 2).sum(-1)); s = []
@@ -200,12 +200,14 @@ def test_silhouette_single_cluster_and_exact(spark):
 
 
 def test_cluster_profiles(spark):
-    rows = [(0, ["python", "sql", "name"]), (0, ["python", "sql"]), (0, ["python"]),
-            (1, ["data analysis", "machine learning"]), (1, ["machine learning", "data analysis"]), (1, ["excel"])]
+    rows = [(0, ["welding", "brazing", "Summary"]), (0, ["Welding", "brazing", "welding"]), (0, ["welding", None]), (0, None),
+            (1, ["glass  cutting", "etching"]), (1, ["etching", "email"]), (2, [])]
     df = spark.createDataFrame(rows, "cluster int, normalized_skills array<string>")
-    p = K.cluster_profiles(df, top_n=2)
-    got = {c: [r["skill"] for r in p.where(f"cluster = {c}").orderBy("rank").collect()] for c in (0, 1)}
-    assert got == {0: ["python", "sql"], 1: ["machine learning", "data analysis"]}
+    p = K.cluster_profiles(df, top_n=3)
+    got = {c: [(r["skill"], r["weight"]) for r in p.where(f"cluster = {c}").orderBy("rank").collect()] for c in (0, 1, 2)}
+    assert got == {0: [("welding", 0.75), ("brazing", 0.5), ("glass cutting", 0.0)],
+                   1: [("etching", 1.0), ("glass cutting", 0.5), ("welding", 0.0)],
+                   2: [("welding", 0.0), ("glass cutting", 0.0), ("etching", 0.0)]}
 
 
 def test_required_columns(spark, tmp_path):
@@ -229,3 +231,120 @@ def test_streaming_ingest(spark, tmp_path):
     rows = {r["resume_id"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert rows["r1"]["category"] == "IT" and rows["r1"]["explicit_skills"] == ["Python", "SQL"]
     assert rows["r2"]["explicit_skills"] == ["Excel", "Word"] and "spark" in rows["r1"]["implicit_skills"]
+
+
+# ---- guards, sources and candidates --------------------------------------------------
+
+def test_silhouette_takes_string_ids_and_sparse_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+    pts = [("a", [0.0, 1.0], 0), ("b", [0.0, 2.0], 0), ("c", [4.0, 0.0], 1), ("d", [5.0, 0.0], 1), ("d", [9.0, 0.0], 1)]
+    dense = spark.createDataFrame(pts, "id string, v array<double>, c int")
+    sparse = spark.createDataFrame([(i, Vectors.sparse(2, [(k, x) for k, x in enumerate(v) if x]), c) for i, v, c in pts], ["id", "v", "c"])
+    whole, blocked, other = (K.silhouette(df, "id", "v", "c", block_bytes=b).first()["silhouette"]
+                             for df, b in ((dense, 1 << 20), (dense, 16), (sparse, 16)))
+    assert math.isclose(whole, blocked, rel_tol=1e-12) and math.isclose(whole, other, rel_tol=1e-12)
+
+
+def test_normalize_keeps_rows_of_one_id_apart(spark):
+    df = spark.createDataFrame([("r", ["js", "sql"]), ("r", ["excel"]), ("r", None), ("q", [])], "resume_id string, skills array<string>")
+    out = normalize_skills(df, alias_frame(spark), "skills")
+    assert sorted((r["resume_id"], tuple(r["normalized_skills"])) for r in out.collect()) == [
+        ("q", ()), ("r", ()), ("r", ("JavaScript", "SQL")), ("r", ("Microsoft Excel",))]
+
+
+@pytest.mark.parametrize("cutoff", [60.0, 85.0, 100.0])
+def test_fuzzy_candidates_lose_no_pair(spark, cutoff):
+    from cvlens.operators.skills import fuzzy_candidates
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 12)))
+    skills, names = {word() for _ in range(120)}, {word() for _ in range(80)}
+    got = fuzzy_candidates(spark.createDataFrame([(s,) for s in skills], "skill string"),
+                           spark.createDataFrame([(n,) for n in names], "canonical string"), cutoff)
+    pairs = {tuple(r) for r in got.collect()}
+    assert {(s, n) for s in skills for n in names if similarity(s, n) >= cutoff / 100} <= pairs
+    if cutoff > 80:
+        assert len(pairs) < 0.05 * len(skills) * len(names)
+
+
+def test_terms_with_symbols(spark):
+    from cvlens.operators.skills import implicit_skills
+    df = one_col(spark, ["uses .NET and c++, java. not javascripts", "asp.net c# c java8"])
+    out = df.select("i", implicit_skills("t", [".net", "c++", "c#", "c", "java", "JavaScript"]).alias("s"))
+    assert collect_col(out, "s") == [[".net", "c++", "java"], ["c#", "c"]]
+
+
+def test_tokens_keep_accents(spark):
+    from cvlens.operators.features import tokens
+    out = one_col(spark, ["Ingénieur à l'École naïve x_1 9", None]).select("i", tokens("t").alias("w"))
+    assert collect_col(out, "w") == [["ingénieur", "école", "naïve", "x_1"], []]
+
+
+def test_split_is_exact_and_repeatable(spark):
+    from cvlens.operators.features import split_train_test
+    for n, share, k in ((1, 0.2, 1), (10, 0.2, 2), (333, 0.3, 100)):
+        df = spark.range(n).selectExpr("cast(id as string) resume_id")
+        a, b = (sorted(r["resume_id"] for r in split_train_test(x, test_size=share).where("split = 'test'").collect())
+                for x in (df, df.repartition(3)))
+        assert a == b and len(a) == k
+    with pytest.raises(ValueError):
+        split_train_test(df, test_size=1.0)
+
+
+def test_guards(spark):
+    df = spark.createDataFrame([(0, "r", ["a"])], "cluster int, resume_id string, normalized_skills array<string>")
+    for bad in (lambda: K.cluster_profiles(df, top_n=0), lambda: K.fit_kmeans(df, k=1), lambda: K.fit_kmeans(df, k=2),
+                lambda: K.fit_kmeans(df.limit(0), k=2), lambda: vocabulary(df.limit(0)),
+                lambda: mining.mine_associations(df.limit(0)), lambda: mining.mine_associations(df, 1.5, 0.5),
+                lambda: V.require_overlap(V.unmatched_counts(df, df.limit(0), "cluster"))):
+        with pytest.raises(ValueError):
+            bad()
+
+
+def test_label_names_of_a_superset(spark):
+    got = M.resolve_label_names(preds(spark, "AB", "AA"), ["B", "A", "Z"]).collect()
+    assert {r["name"]: r["label"] for r in got} == {"A": "A", "B": "B"} or {r["name"] for r in got} == {"A", "B", "Z"}
+
+
+def test_alias_files(spark, tmp_path):
+    from cvlens.sources.aliases import load_alias_dictionary
+    load = lambda name, **k: {tuple(r) for r in load_alias_dictionary(spark, str(tmp_path / name), **k).collect()}
+    (tmp_path / "flat.json").write_text('{"ts": "TypeScript",\n "n": 5, "x": null}')
+    (tmp_path / "nested.json").write_text('{"aliases": {"go": "Golang"}, "other": "no"}')
+    (tmp_path / "broken.json").write_text('{"ts": "TypeScript"')
+    assert load("flat.json") == {("ts", "TypeScript")} and load("nested.json") == {("go", "Golang")}
+    assert load("none.json", missing_ok=True) == set()
+    for name in ("broken.json", "none.json"):
+        with pytest.raises(Exception):
+            load(name)
+
+
+def test_files_decode_extension_and_quarantine(spark, tmp_path):
+    from cvlens.sources import files as FS
+    for name, body in (("IT/a.txt", "Größe\r\nx".encode("latin-1")), ("IT/b.TXT", "Größe".encode()), ("IT/c.md", b"x"), ("IT/sub/d.txt", b"x"),
+                       ("HR/e.txt", b"a\0b"), ("HR/f.pdf", b"%PDF"), ("stray.txt", b"x")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(body)
+    got = {(r["resume_id"], r["category"], r["resume_str"]) for r in FS.read_archive(spark, str(tmp_path), "*.{txt,TXT,md}").collect()}
+    assert got == {("a", "IT", "Größe\nx"), ("b", "IT", "Größe"), ("e", "HR", "a\0b")}
+    rows = FS.quarantine(FS.list_archive(spark, str(tmp_path), "*"))
+    assert {(r["resume_id"], r["_error"]) for r in rows.collect()} == {
+        ("a", None), ("b", None), ("c", "extension not accepted"), ("e", "binary content"), ("f", "no decoder for .pdf")}
+    assert tuple(FS.quarantine_counts(rows).first()) == (2, 3, 5)
+
+
+def test_csv_to_features(spark, tmp_path):
+    from cvlens.operators import resumes as R
+    from cvlens.sources.files import read_resume_csv
+    (tmp_path / "r.csv").write_text('ID,Resume_str,Resume_html,Category\n1,"Skills: js; Excel\nExperience: sql work",,IT\n2,"Skills: Excel",,\n')
+    done = R.structure_resumes(read_resume_csv(spark, str(tmp_path / "r.csv"), with_row_index=True), alias_frame(spark))
+    rows = {r["resume_id"]: r for r in done.collect()}
+    assert rows["1"]["normalized_skills"] == ["JavaScript", "Microsoft Excel", "SQL"] and rows["2"]["job_category"] == "UNKNOWN"
+    assert [rows[i]["metadata"]["file_path"].rpartition(":")[2] for i in "12"] == ["row_0", "row_1"]
+    assert rows["1"]["metadata"]["processed_date"][:2] == "20"
+    vectors, vocab = R.resume_features(done)
+    assert [r["skill"] for r in vocab.orderBy("idx").collect()] == ["JavaScript", "Microsoft Excel", "SQL"]
+    assert {r["resume_id"]: r["features"].toArray().tolist() for r in vectors.collect()} == {"1": [1, 1, 1], "2": [0, 1, 0]}
+
+
+def test_empty_report(spark):
+    assert M.combined_report(spark).columns == []
