@@ -103,7 +103,3 @@ def ws_chars_sql() -> str:
 
 def strip_ws_sql(expr: str) -> str:
     return "trim(%s, %s)" % (expr, ws_chars_sql())
-
-
-def split_words_sql(expr: str) -> str:
-    return "list_filter(string_split_regex(coalesce(%s, ''), '%s'), lambda x: x <> '')" % (expr, WS_RUN)

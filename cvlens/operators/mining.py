@@ -34,6 +34,11 @@ def _check_threshold(name: str, value: float) -> None:
 _TAG = "struct<k:string,idx:int,w:string>"
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def first_spelling(items: Column) -> Column:
     """Case-insensitive de-duplication keeping the first spelling, in order.
 
@@ -41,21 +46,25 @@ def first_spelling(items: Column) -> Column:
     key, then restore the original order: O(n log n) per array, row-local.
     """
     tagged = F.transform(items, lambda x, i: F.struct(F.lower(x).alias("k"), i.alias("idx"), x.alias("w")))
-    srt = F.array_sort(tagged)
-    prev = F.concat(F.array(F.lit(None).cast(_TAG)),
-                    F.slice(srt, 1, F.greatest(F.size(srt) - 1, F.lit(0))))
-    firsts = F.filter(
-        F.zip_with(srt, prev, lambda c, p: F.when(c.isNotNull() & (p.isNull() | (p["k"] != c["k"])),
-                                                   F.struct(c["idx"].alias("idx"), c["w"].alias("w")))),
-        lambda x: x.isNotNull())
-    return F.transform(F.array_sort(firsts), lambda x: x["w"])
+
+    def firsts(srt: Column) -> Column:
+        prev = F.concat(F.array(F.lit(None).cast(_TAG)), F.slice(srt, 1, F.greatest(F.size(srt) - 1, F.lit(0))))
+        return F.filter(
+            F.zip_with(srt, prev, lambda c, p: F.when(c.isNotNull() & (p.isNull() | (p["k"] != c["k"])),
+                                                       F.struct(c["idx"].alias("idx"), c["w"].alias("w")))),
+            lambda x: x.isNotNull())
+
+    return F.transform(F.array_sort(_let(F.array_sort(tagged), firsts)), lambda x: x["w"])
 
 
 def clean_transaction(items: Column) -> Column:
-    """Drop nulls and noise, strip, and keep the first spelling per lower case."""
-    stripped = F.transform(F.filter(items, lambda s: s.isNotNull()), strip_ws)
-    kept = F.filter(stripped, lambda s: ~is_noise_skill(s, stripped=True))
-    return first_spelling(kept)
+    """Drop nulls and noise, strip, and keep the first spelling per lower case.
+
+    Noise is a matter of the lower-cased item, so it is tested once per kept
+    spelling.
+    """
+    stripped = F.array_distinct(F.transform(F.filter(items, lambda s: s.isNotNull()), strip_ws))
+    return F.filter(first_spelling(stripped), lambda s: ~is_noise_skill(s, stripped=True))
 
 
 def transactions(resumes: DataFrame, skills_col: str = "normalized_skills",
@@ -63,8 +72,9 @@ def transactions(resumes: DataFrame, skills_col: str = "normalized_skills",
     """(id, items) for every resume whose cleaned skill list is non-empty; row by row, without a shuffle."""
     items = F.coalesce(F.col(skills_col), F.array().cast("array<string>"))
     items = clean_transaction(items) if clean else F.array_distinct(items)
-    return (resumes.select(F.col(id_col).alias("resume_id"), items.alias("items"))
-            .where(F.size("items") > 0))
+    # a filter on the list would be pushed below it and clean every list twice
+    kept = F.explode_outer(F.filter(F.array(items), lambda x: F.size(x) > 0))
+    return resumes.select(F.col(id_col).alias("resume_id"), kept.alias("items")).where(F.col("items").isNotNull())
 
 
 def effective_min_support(min_support: float, n_transactions: int) -> float:

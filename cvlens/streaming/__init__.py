@@ -15,22 +15,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cvlens.functions.sections import add_sections
-from cvlens.functions.text import clean_text, normalize_newlines
+from cvlens.functions.text import clean_text, decode_text
 from cvlens.operators.skills import explicit_skills, implicit_skills
 from cvlens.sources.aliases import DEFAULT_ALIASES
 
+_BINARY = "path string, modificationTime timestamp, length long, content binary"
 _PATH = r"([^/]+)/([^/]+)\.[^./]+$"
 
 
 def read_resume_stream(spark: SparkSession, root: str, max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming (resume_id, category, resume_str) from category folders of .txt files."""
-    raw = (spark.readStream.format("text").option("wholetext", True)
+    raw = (spark.readStream.format("binaryFile").schema(_BINARY)
            .option("pathGlobFilter", "*.txt").option("maxFilesPerTrigger", max_files_per_trigger)
            .load(f"{root.rstrip('/')}/*/"))
-    path = F.col("_metadata.file_path")
-    return raw.select(F.regexp_extract(path, _PATH, 2).alias("resume_id"),
-                      F.regexp_extract(path, _PATH, 1).alias("category"),
-                      normalize_newlines("value").alias("resume_str"))
+    return raw.select(F.regexp_extract("path", _PATH, 2).alias("resume_id"),
+                      F.regexp_extract("path", _PATH, 1).alias("category"),
+                      decode_text("content").alias("resume_str"))
 
 
 def structure(df: DataFrame, terms=None) -> DataFrame:
