@@ -73,6 +73,19 @@ def gather(starts: np.ndarray, sizes: np.ndarray, values: np.ndarray, at: np.nda
     return values[np.repeat(starts[at] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
+def squeeze(x: np.ndarray) -> bytes:
+    """A 4-byte integer array, byte by byte plane, as one zstandard frame."""
+    import zstandard
+    planes = np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=1, write_content_size=True).compress(planes.tobytes())
+
+
+def unsqueeze(packed: bytes) -> np.ndarray:
+    import zstandard
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 class Block:
     """Numbers the distinct words of successive texts.
 
@@ -139,10 +152,8 @@ def _blocks(pattern: str, block_bytes: int, want_words: bool):
     """A task's documents as rows of word numbers, or its blocks' words; both number alike."""
     def run(batches):
         import pyarrow as pa
-        import zstandard
         from pyspark import TaskContext
         first = TaskContext.get().partitionId() << 32
-        zstd = zstandard.ZstdCompressor(level=1)
         block, n_blocks = Block(pattern), 0
 
         def words():
@@ -159,12 +170,10 @@ def _blocks(pattern: str, block_bytes: int, want_words: bool):
                 ids, texts = (c.to_pylist() for c in b.slice(lo, ROW_DOCS).columns)
                 numbers = [block.add(t) for t in texts]
                 if not want_words:
-                    flat = np.concatenate(numbers).astype("<i4")
-                    planes = np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([first + n_blocks]), pa.array([row], pa.int32()), pa.array([ids], pa.list_(pa.int64())),
                          pa.array([[len(x) for x in numbers]], pa.list_(pa.int32())),
-                         pa.array([zstd.compress(planes.tobytes())], pa.binary())],
+                         pa.array([squeeze(np.concatenate(numbers))], pa.binary())],
                         ["block", "row", "doc_ids", "sizes", "numbers"])
                 row += 1
                 if block.n_bytes >= block_bytes:
@@ -185,11 +194,15 @@ def _encode_words(path: str, pattern: str, flush: int = 1 << 18):
         n, last, ids = 0, None, []
 
         def packed():
-            rows = list(held.items())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in rows], pa.int64()),
-                 *(pa.array([v[i].tobytes() for _, v in rows], pa.binary()) for i in range(3))],
-                ["block", "numbers", "sizes", "ids"])
+            rows = []  # each block's words in the order of their numbers, which are written as steps
+            for block, own in held.items():
+                number, size, flat = (np.frombuffer(x, d) for x, d in zip(own, (np.int32, np.int32, np.uint32)))
+                order, size = np.argsort(number), size.astype(np.int64)
+                rows.append((block, squeeze(np.diff(number[order], prepend=0)), squeeze(size[order]),
+                             squeeze(gather(np.cumsum(size) - size, size, flat, order))))
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()),
+                                               *(pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3))],
+                                              ["block", "numbers", "sizes", "ids"])
 
         for b in batches:
             for word, block, number in zip(*(c.to_pylist() for c in b.columns)):
@@ -225,17 +238,14 @@ def decode_ids(ranks: str, parts: list[bytes]) -> list[bytes]:
 def _assemble(docs, words, ranks: str, decode: bool):
     """One block: its documents' word numbers and its words' ids -> its documents' ids."""
     import pyarrow as pa
-    import zstandard
-    cat = lambda name, kind: np.frombuffer(b"".join(words.column(name).to_pylist()), kind)
-    numbers, sizes, ids = cat("numbers", np.int32), cat("sizes", np.int32).astype(np.int64), cat("ids", np.uint32)
+    parts = lambda name: [unsqueeze(x) for x in words.column(name).to_pylist()] or [np.zeros(0, np.uint32)]
+    numbers = np.concatenate([np.cumsum(x, dtype=np.int64) for x in parts("numbers")])
+    sizes, ids = np.concatenate(parts("sizes")).astype(np.int64), np.concatenate(parts("ids"))
     starts, lens = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
     starts[numbers], lens[numbers] = np.cumsum(sizes) - sizes, sizes
-    unzip = zstandard.ZstdDecompressor()
     batches = []
     for own, n, packed in zip(docs.column("doc_ids").to_pylist(), docs.column("sizes").to_pylist(), docs.column("numbers").to_pylist()):
-        total = sum(n)
-        raw = unzip.decompress(packed, max_output_size=4 * total) if total else b""
-        at = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, -1).T).view("<i4").ravel().astype(np.int64)
+        at = unsqueeze(packed).astype(np.int64)
         flat = gather(starts, lens, ids, at).astype("<u4").tobytes()
         upto = np.concatenate([[0], np.cumsum(lens[at])])[np.concatenate([[0], np.cumsum(n)])].tolist()
         out = [flat[4 * a:4 * z] for a, z in zip(upto, upto[1:])]
