@@ -51,7 +51,7 @@ BINS = 64
 # Standard deviations that a sketch may fall short of the threshold.
 SLACK = 4.5
 # Bytes of text that are shingled at once.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD = np.zeros(256, bool)

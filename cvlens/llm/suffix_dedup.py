@@ -47,7 +47,7 @@ from cvlens.llm.groups import spans, whole_groups
 
 WINDOW = 200
 GRAM = 40
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _PLACE_BITS = 24  # places in a chunk, packed below the hash
 
 _ANCHORS = "h long, u long, rid long, p int, lo int, n int"
