@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +37,28 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def claim_cache(owner: str, free: Callable[[], None]) -> None:
+    """One operator's cache at a time in a worker process: the others are freed.
+
+    Workers serve one stage after another; what an earlier operator keeps for
+    its next task would add to the memory of this one.
+    """
+    free_caches(owner)
+    _CACHES[owner] = free
+
+
+def free_caches(owner: str | None = None) -> None:
+    """Free all caches but ``owner``'s in this worker process."""
+    others = [_CACHES.pop(k) for k in list(_CACHES) if k != owner]
+    for drop in others:
+        drop()
+    if others:
+        gc.collect()
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

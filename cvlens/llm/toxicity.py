@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvlens.llm.common import table, text_or_empty
+from cvlens.llm.common import claim_cache, table, text_or_empty
 
 MAX_LABELLED = 20_000
 N_CLASSES = 62  # boundary, a-z, U+00DF to U+00FF, any other letter, and one to spare
@@ -179,7 +179,7 @@ def word_features(w: str) -> list[str]:
 class WordScorer:
     """Documents -> evidence; keeps what it knows of a token while its worker lives."""
 
-    MOST = 300_000
+    MOST = 200_000
 
     def __init__(self, model: np.ndarray, toxic: dict[str, tuple[int, int]], base: float, smooth: float):
         self.model, self.toxic, self.base, self.smooth = model, toxic, base, smooth
@@ -269,6 +269,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, sm
 
     def count(batches):
         import pyarrow as pa
+        claim_cache("toxicity", _SCORERS.clear)
         kinds = (Counter(), Counter())
         size = [0, 0]
         forms: dict[str, list[str]] = {}
@@ -326,6 +327,7 @@ def score_column(spark: SparkSession, model: ToxicityModel, text: str = "text")
     def score(texts):
         import pandas as pd
         m = given.value
+        claim_cache("toxicity", _SCORERS.clear)
         scorer = _SCORERS.get(id(m))
         if scorer is None or scorer.model is not m.chars:  # another model's scorer may have had the same address
             _SCORERS.clear()

@@ -18,7 +18,9 @@ from functools import lru_cache
 
 import numpy as np
 
-MAX_PIECES = 700_000
+from cvlens.llm.common import claim_cache
+
+MAX_PIECES = 500_000
 MAX_CHARS = 32 << 20
 
 # str.split() parts at these; the files' patterns take them for symbols.
@@ -166,10 +168,15 @@ class WordTokenizer:
         return flat, counts
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
+def _loaded(path: str) -> WordTokenizer:
+    return WordTokenizer(path)
+
+
 def word_tokenizer(path: str) -> WordTokenizer:
     """One tokenizer, and one cache, for each worker process."""
-    return WordTokenizer(path)
+    claim_cache("word tokens", _loaded.cache_clear)
+    return _loaded(path)
 
 
 def with_end(flat: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
