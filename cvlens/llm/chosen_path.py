@@ -38,7 +38,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cvlens.llm.common import byte_column, mix64, text_or_empty, written
+from cvlens.llm.common import byte_column, free_caches, mix64, text_or_empty, written
 from cvlens.llm.groups import components, forest, spans, whole_groups
 
 SHINGLE = 5
@@ -176,6 +176,7 @@ _SIGNED = ("doc_id long, rid long, size int, d1 long, d2 long, sk binary, l1 arr
 def _sign(threshold: float, depth: int, runs: int, seed: int):
     def run(batches):
         import pyarrow as pa
+        free_caches()
         roots = mix64(np.arange(1, runs + 1, dtype=np.uint64) * _BASE + np.uint64(seed))
         whole = pa.list_(pa.int64())
         for b in batches:

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cvlens.llm.common import written
+from cvlens.llm.common import free_caches, written
 
 # Leading bytes of the range key.
 PREFIX_CHARS = 16
@@ -37,6 +37,7 @@ _RUNS = ("doc_id long, rid long, keep_id long, text_sha256 string, range_id int,
 def _normalise(batches):
     import pyarrow as pa
     import pyarrow.compute as pc
+    free_caches()
     for b in batches:
         text = pc.ascii_lower(pc.fill_null(b.column(1), ""))
         yield pa.RecordBatch.from_arrays([b.column(0), text, b.column(2)], ["doc_id", "norm", "rid"])

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cvlens.llm.chosen_path import _power_tables
-from cvlens.llm.common import byte_column, mix64, text_or_empty, written
+from cvlens.llm.common import byte_column, free_caches, mix64, text_or_empty, written
 from cvlens.llm.groups import spans, whole_groups
 
 WINDOW = 200
@@ -103,6 +103,7 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, window: int, gram: int):
 def _anchor_rows(window: int, gram: int):
     def run(batches):
         import pyarrow as pa
+        free_caches()
         for b in batches:
             raw, offsets = byte_column(b.column(2))
             rid = b.column(0).to_numpy()
@@ -280,34 +281,44 @@ def _sorted_spans(batches):
                                           pa.array(p[hit] - least[hit] + WINDOW)], ["rid", "a", "z"])
 
 
-def _cut(batches):
-    """Documents with covered spans -> what stays."""
+def _cut_out(as_text: bool):
+    """Documents with covered spans -> what stays: its bytes, or as text its whole characters."""
+    def run(batches):
+        import pyarrow as pa
+        free_caches()
+        for b in batches:
+            yield _cut(b, pa.string() if as_text else pa.binary())
+    return run
+
+
+def _cut(b, kind):
     import pyarrow as pa
-    for b in batches:
-        raw, offsets = byte_column(b.column(2))
-        rows = []
-        for i, own in enumerate(b.column(4).to_pylist()):
-            text = raw[offsets[i]:offsets[i + 1]].tobytes()
-            merged: list[list[int]] = []
-            for s in sorted((s["a"], s["z"]) for s in own or ()):
-                if merged and s[0] <= merged[-1][1]:
-                    merged[-1][1] = max(merged[-1][1], s[1])
-                else:
-                    merged.append(list(s))
-            kept, at = [], 0
-            for a, z in merged:
-                kept.append(text[at:a])
-                at = z
-            kept.append(text[at:])
-            rows.append((len(text), sum(z - a for a, z in merged), len(merged), b"".join(kept)))
-        yield pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), b.column(3), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)),
-             pa.array([r[3] for r in rows], pa.binary())], ["rid", "doc_id", "rest", "n_bytes", "n_removed", "n_spans", "kept"])
-
-
-def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+    raw, offsets = byte_column(b.column(2))
+    rows = []
+    for i, own in enumerate(b.column(4).to_pylist()):
+        text = raw[offsets[i]:offsets[i + 1]].tobytes()
+        merged: list[list[int]] = []
+        for s in sorted((s["a"], s["z"]) for s in own or ()):
+            if merged and s[0] <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], s[1])
+            else:
+                merged.append(list(s))
+        kept, at = [], 0
+        for a, z in merged:
+            kept.append(text[at:a])
+            at = z
+        kept.append(text[at:])
+        body = b"".join(kept)
+        rows.append((len(text), sum(z - a for a, z in merged), len(merged),
+                     body.decode("utf-8", "ignore") if pa.types.is_string(kind) else body))
+    return pa.RecordBatch.from_arrays(
+        [b.column(0), b.column(1), b.column(3), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(3)),
+         pa.array([r[3] for r in rows], kind)], ["rid", "doc_id", "rest", "n_bytes", "n_removed", "n_spans", "kept"])
+
+
+def remove_repeats(docs: DataFrame, carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """One row per document: rid (its place), doc_id, rest (the columns to ``carry``), n_bytes, n_removed,
-    n_spans, kept (bytes)."""
+    n_spans, kept (bytes, or with ``as_text`` a string of the characters that were not cut in two)."""
     rest = F.struct(*(F.col(f"`{c}`") for c in carry)) if carry else F.struct(F.lit(0).alias("none"))
     texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
                         text_or_empty().cast("string").cast("binary").alias("text"), rest.alias("rest"))
@@ -327,7 +338,8 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame
     covered = (whole(found.filter("alike")).unionByName(whole(alike)).unionByName(edges)
                .groupBy("rid").agg(F.collect_list(F.struct("a", "z")).alias("covered")))
     return (texts.join(covered, "rid", "left").select("rid", "doc_id", "text", "rest", "covered")
-            .mapInArrow(_cut, f"rid long, doc_id long, rest {rest_type}, n_bytes long, n_removed long, n_spans long, kept binary"))
+            .mapInArrow(_cut_out(as_text), f"rid long, doc_id long, rest {rest_type}, n_bytes long, n_removed long, n_spans long, "
+                                           f"kept {'string' if as_text else 'binary'}"))
 
 
 def repeat_digests(docs: DataFrame) -> DataFrame:
