@@ -59,13 +59,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
 
-    @F.pandas_udf("string")
-    def whole_characters(kept):
-        return kept.map(lambda b: b.decode("utf-8", "ignore"))
-
     names = docs.columns
-    cut = suffix_dedup.remove_repeats(docs, names)
-    text = F.when(F.col("rest.`text`").isNotNull(), whole_characters("kept"))
+    cut = suffix_dedup.remove_repeats(docs, names, as_text=True)
+    text = F.when(F.col("rest.`text`").isNotNull(), F.col("kept"))
     cut = cut.select(*(text.alias("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in names))
     if "n_chars" in names:
         cut = cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text"))
