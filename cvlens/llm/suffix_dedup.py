@@ -326,6 +326,8 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, as_text: boo
     rows = texts.select("rid", "doc_id", "text").mapInArrow(_anchor_rows(WINDOW, GRAM), _ANCHORS)
     twice = (rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("u").alias("u1"), F.max("u").alias("u2"))
              .filter("c > 1").select("h", (F.col("u1") == F.col("u2")).alias("alike")))
+    # stored, so that both sides of the join are plain shuffles and a frequent hash can be split
+    twice = written(twice, "repeat-hashes")
     found = written(rows.join(twice, "h"), "repeat-anchors")
     whole = lambda df: df.select("rid", F.col("lo").cast("long").alias("a"), (F.col("lo") + F.col("n") + WINDOW).cast("long").alias("z"))
     mixed = found.filter("NOT alike").drop("alike")
