@@ -2,10 +2,10 @@
 
 1. A character trigram model is counted over all documents (lower-cased; 62
    classes of characters, so the table is bounded whatever the corpus).
-2. A word written with digits or symbols for letters, with separators between
-   its letters, spaced out over several words, or with letters repeated, is a
+2. Every word with a digit, a symbol or a separator in or after it, or a letter
+   twice in a row, and every run of three or more single letters, is a
    lattice: each observed character may stand for itself, for the letters it
-   imitates, or for nothing. A list Viterbi search finds the likeliest
+   imitates, for nothing, or (no letter) for a word break. A list Viterbi search finds the likeliest
    readings under channel costs and the character model.
 3. A classifier scores words and their readings by their beginnings, endings
    and whole spelling. It learns from labelled rows only: for each feature, in
@@ -44,11 +44,11 @@ READINGS = 5
 IMITATES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
             "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l", "¥": "y", "*": "aeiou"}
 SEPARATORS = "._-*~/'· ​"
-SWAP_COST, DROP_COST, REPEAT_COST, BREAK_COST = 0.5, 0.2, 0.3, 8.0
+SWAP_COST, DROP_COST, REPEAT_COST, BREAK_COST, BLANK_COST = 0.5, 0.2, 0.3, 8.0, 2.0
 
 _EDGES = ".,;:?\"()[]{}<>«»…“”„'`"
-_REPEATED = re.compile(r"([^\W\d_])\1\1")
-_TAIL = re.compile(r"([^\W\d_]{2,})[\W\d_]{3,}")
+_RUNS = re.compile(r"(.)\1*")
+_REPEATED = re.compile(r"([^\W\d_])\1")
 _LETTER = re.compile(r"[^\W\d_]")
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -98,72 +98,129 @@ def character_model(docs: DataFrame) -> np.ndarray:
 
 # ---- the channel ---------------------------------------------------------
 
-def readings(span: str, model: np.ndarray, n: int = READINGS) -> list[str]:
-    """The ``n`` likeliest restorations of an observed span (lower case)."""
-    states: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
-    before = ""
-    for c in span:
-        options: list[tuple[str, float]] = []
+# Options of an observed character: what is written for it, its class, the cost.
+_AS_IS = {c: [(c, char_class(c), 0.0)] for c in "abcdefghijklmnopqrstuvwxyz"}
+_NO_LETTER = [("", 0, BREAK_COST), (" ", 0, BREAK_COST)]
+_SYMBOLS = {c: [*((x, char_class(x), SWAP_COST) for x in IMITATES.get(c, "")),
+                ("", 0, DROP_COST if c in SEPARATORS else BREAK_COST), (" ", 0, BLANK_COST if c == " " else BREAK_COST)]
+            for c in {*IMITATES, *SEPARATORS}}
+
+
+def readings(span: str, model, n: int = READINGS) -> list[str]:
+    """The ``n`` likeliest restorations of an observed span (lower case).
+
+    ``model``: the character model as an array, or as nested lists, which are faster to look up.
+    """
+    a, b, p, before, lead = 0, 0, 0.0, "", 0
+    for c in span:  # the letters in front have one way
+        if not c.isalpha() or c == before:
+            break
+        k = char_class(c)
+        p -= float(model[a][b][k])
+        a, b, before, lead = b, k, c, lead + 1
+    states: dict[tuple[int, int], list[tuple[float, str]]] = {(a, b): [(p, span[:lead])]}
+    for at in range(lead, len(span)):
+        c = span[at]
         if c.isalpha():
-            options.append((c, 0.0))
+            options = _AS_IS[c] if c in _AS_IS else [(c, char_class(c), 0.0)]
             if c == before:
-                options.append(("", REPEAT_COST))
+                options = [*options, ("", 0, REPEAT_COST)]
         else:
-            options += [(x, SWAP_COST) for x in IMITATES.get(c, "")]
-            if c in SEPARATORS:
-                options.append(("", DROP_COST))
-            else:
-                options.append(("", BREAK_COST))
-            if c != " ":
-                options.append((" ", BREAK_COST))
+            options = _SYMBOLS[c] if c in _SYMBOLS else _NO_LETTER
         before = c
+        if at == len(span) - 1:
+            return _last(states, options, model, n)
         after: dict[tuple[int, int], list[tuple[float, str]]] = {}
+        mixed = set()
         for (a, b), paths in states.items():
-            for out, cost in options:
-                if out == " " and b == 0:
-                    continue
-                k = char_class(out) if out else b
-                key = (b, k) if out else (a, b)
-                step = cost - (float(model[a, b, k]) if out else 0.0)
-                own = after.setdefault(key, [])
-                own += [(p + step, s + out) for p, s in paths]
-        states = {}
-        for key, paths in after.items():
+            row = model[a][b]
+            for out, k, cost in options:
+                if out:
+                    if out == " " and b == 0:
+                        continue
+                    key = (b, k)
+                    step = cost - float(row[k])
+                    own = [(p + step, s + out) for p, s in paths]
+                else:
+                    key = (a, b)
+                    own = [(p + cost, s) for p, s in paths]
+                if key in after:
+                    after[key] += own
+                    mixed.add(key)
+                else:
+                    after[key] = own
+        for key in mixed:  # the others are sorted and distinct as their one source is
             best: dict[str, float] = {}
-            for p, s in sorted(paths):
+            for p, s in sorted(after[key]):
                 best.setdefault(s, p)
                 if len(best) == n:
                     break
-            states[key] = [(p, s) for s, p in best.items()]
-    ends = sorted((p - float(model[a, b, 0]), s) for (a, b), paths in states.items() for p, s in paths)
-    return list(dict.fromkeys(s.strip() for _, s in ends))[:n]
+            after[key] = [(p, s) for s, p in best.items()]
+        states = after
+    return [span]
+
+
+def _last(states: dict, options: list, model, n: int) -> list[str]:
+    """The ``n`` best ends over the last character; paths above the n-th best so far are not spelled out."""
+    best: dict[str, float] = {}
+    bound = math.inf
+    for (a, b), paths in states.items():
+        row = model[a][b]
+        for out, k, cost in options:
+            if not out:
+                step = cost - float(row[0])
+            elif out == " " and b == 0:
+                continue
+            else:
+                step = cost - float(row[k]) - float(model[b][k][0])
+            for p, s in paths:
+                p += step
+                if p > bound:
+                    break  # paths are sorted
+                s = (s + out).strip()
+                if p < best.get(s, math.inf):
+                    best[s] = p
+                    if len(best) > n:
+                        del best[max(best, key=lambda x: (best[x], x))]
+                    if len(best) == n:
+                        bound = max(best.values())
+    return sorted(best, key=lambda x: (best[x], x))
+
+
+def _repeats(word: str, most: int = READINGS) -> list[str] | None:
+    """All words that ``word`` may be without repetitions, if they are at most ``most`` and so all are readings."""
+    runs = [m[0] for m in _RUNS.finditer(word)]
+    if math.prod(map(len, runs)) > most:
+        return None
+    out = [""]
+    for r in runs:
+        out = [w + r[:k] for w in out for k in range(len(r), 0, -1)]
+    return out
 
 
-def plain_forms(token: str, model: np.ndarray) -> list[str]:
+def plain_forms(token: str, model) -> list[str]:
     """The words that a blank-separated token (lower case) may stand for: itself, and its readings."""
     token = token.strip(_EDGES)
     if token.isalpha():
-        return [token, *readings(token, model)] if _REPEATED.search(token) else [token]
-    tail = _TAIL.fullmatch(token)
-    if tail:  # a word with a run of symbols after it
-        return [tail[1]]
+        if not _REPEATED.search(token):
+            return [token]
+        return _repeats(token) or [token, *readings(token, model)]
     words = _WORDS.findall(token)
     if not words:
         return []
-    if all(c.isalpha() or c in SEPARATORS for c in token) and len(words) < 3 and "*" not in token:
-        return words  # don't, well-known
-    return words + [w for r in readings(token, model) for w in r.split()]
+    # the plain parts (don't, well-known) stay beside the readings
+    return list(dict.fromkeys(words + [w for r in readings(token, model) for w in r.split()]))
 
 
 def spaced_out(tokens: list[str]) -> list[str]:
-    """Runs of at least four single letters (or imitations) as spans."""
+    """Runs of at least three single letters (or imitations) as spans."""
     out, run = [], []
     for t in [*tokens, ""]:
         c = t if len(t) == 1 else t.strip(_EDGES) if len(t) == 2 else ""
         if len(c) == 1 and (c.isalpha() or c in IMITATES):
             run.append(c)
             continue
-        if len(run) >= 4 and any(x.isalpha() for x in run):
+        if len(run) >= 3 and any(x.isalpha() for x in run):
             out.append(" ".join(run))
         run = []
     return out
@@ -183,6 +240,7 @@ class WordScorer:
 
     def __init__(self, model: np.ndarray, toxic: dict[str, tuple[int, int]], base: float, smooth: float):
         self.model, self.toxic, self.base, self.smooth = model, toxic, base, smooth
+        self.costs = model.tolist()
         self.known: dict[str, tuple] = {}
 
     def share(self, a: float, b: float) -> float:
@@ -201,14 +259,13 @@ class WordScorer:
         for t in set(low):
             found = self.known.get(t)
             if found is None:
-                found = self.known[t] = self._look(plain_forms(t, self.model))
+                found = self.known[t] = self._look(plain_forms(t, self.costs))
+            if found:
+                best[found] = 0.0
+        for span in spaced_out(low):
+            found = self._look([w for r in readings(span, self.costs) for w in r.split()])
             if found:
                 best[found] = 0.0
-        if sum(1 for t in low if len(t) == 1) >= 4:
-            for span in spaced_out(low):
-                found = self._look([w for r in readings(span, self.model) for w in r.split()])
-                if found:
-                    best[found] = 0.0
         a_own, b_own = (0, 0) if own is None else (own, 1 - own)
         shares = sorted((max(self.share(self.toxic[f][0] - a_own, self.toxic[f][1] - b_own) for f in found) for found in best),
                         reverse=True)
@@ -270,6 +327,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, sm
     def count(batches):
         import pyarrow as pa
         claim_cache("toxicity", _SCORERS.clear)
+        costs = shared.value.tolist()
         kinds = (Counter(), Counter())
         size = [0, 0]
         forms: dict[str, list[str]] = {}
@@ -279,10 +337,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, sm
                 for t in set(low):
                     f = forms.get(t)
                     if f is None:
-                        f = forms[t] = [x for w in plain_forms(t, shared.value) for x in word_features(w)]
+                        f = forms[t] = [x for w in plain_forms(t, costs) for x in word_features(w)]
                     own.update(f)
                 for span in spaced_out(low):
-                    own.update(x for r in readings(span, shared.value) for w in r.split() for x in word_features(w))
+                    own.update(x for r in readings(span, costs) for w in r.split() for x in word_features(w))
                 kinds[y].update(own)
                 size[y] += 1
         names = [f for f in kinds[1]]

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,3 +280,22 @@ def test_term_hits_against_patterns():
         text = "".join(rng.choice("abcd-/.é") for _ in range(rng.randint(0, 12)))
         hits = lambda t: len(re.findall(rf"(?<![a-z0-9])(?={re.escape(t)}(?![a-z0-9]))", text))
         assert url_filter.term_hits(text, strict, soft) == (sum(map(hits, strict)), sum(hits(t) > 0 for t in soft))
+
+
+def test_toxicity_decodes_each_kind_of_disguise():
+    words = ["moron", "idiot", "crass", "dumbass", "idiots", "stupid", "you", "are", "so"] * 40
+    counts = np.full((toxicity.N_CLASSES,) * 3, 0.1)
+    for batch in toxicity._count_trigrams([pa.RecordBatch.from_arrays([pa.array([" ".join(words)])], ["text"])]):
+        counts.reshape(-1)[batch.column(0).to_numpy()] += batch.column(1).to_numpy()
+    model = np.log(counts / counts.sum(2, keepdims=True)).astype(np.float32)
+    for token, word in {"mor.on": "moron", "id-iot": "idiot", "cr455": "crass", "dumb455": "dumbass", "id1075": "idiots",
+                        "stuupid": "stupid", "m0ron": "moron", "i.d.i.o.t": "idiot"}.items():
+        assert word in toxicity.plain_forms(token, model), token
+        assert toxicity.plain_forms(token, model) == toxicity.plain_forms(token, model.tolist())
+    assert {"don", "t"} <= set(toxicity.plain_forms("don't", model)) and "hello" in toxicity.plain_forms("hello!!!", model)
+    assert toxicity.plain_forms("moron", model) == ["moron"] and toxicity.plain_forms("1234", model) == []
+    assert toxicity.spaced_out("he is s o so".split()) == [] and toxicity.spaced_out("a s s".split()) == ["a s s"]
+    assert "you idiot" in toxicity.readings("y o u i d i o t", model)
+    scorer = toxicity.WordScorer(model, {"=idiot": (9, 0)}, 0.1, 4.0)
+    for text in ("y o u i d i o t", "i, d, i, o, t,", "an id-iot"):
+        assert scorer.evidence(text)[0] > scorer.evidence("an apple")[0], text
