@@ -25,17 +25,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cvlens.llm import chosen_path, exact_dedup, packing, suffix_dedup, toxicity
-from cvlens.llm.common import scratch, table
+from cvlens.llm.common import scratch, table, written
 from cvlens.session import ship_package
 
-# A row's place in a stage's input: stages read tables, which give the same rows in the same order.
+# A row's place in a stage's input, stored with the row: another scan may be split otherwise.
 _PLACE = "__place"
+_GIVEN = "__given"  # whether a text is not null
 
 
-def _stay(docs: DataFrame, places: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose place is in ``places`` (rid)."""
-    return (docs.withColumn(_PLACE, F.monotonically_increasing_id())
-            .join(places.select(F.col("rid").alias(_PLACE)), _PLACE, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns)))
+def _placed(docs: DataFrame) -> DataFrame:
+    return written(docs.withColumn(_PLACE, F.monotonically_increasing_id()), "stage-places")
+
+
+def _stay(placed: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of ``placed`` whose place is in ``places`` (rid), without it."""
+    return (placed.join(places.select(F.col("rid").alias(_PLACE)), _PLACE, "left_semi")
+            .select(*(F.col(f"`{c}`") for c in placed.columns if c != _PLACE)))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,22 +51,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return _stay(docs, exact_dedup.exact_groups(docs, keep="max").filter("kept"))
+    placed = _placed(docs)
+    return _stay(placed, exact_dedup.exact_groups(placed, keep="max", place=_PLACE).filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    classes = chosen_path.near_duplicates(docs)
+    placed = _placed(docs)
+    classes = chosen_path.near_duplicates(placed, place=_PLACE)
     first = classes.groupBy("class_rid").agg(F.min(F.struct("doc_id", "rid")).alias("first"))
-    return _stay(docs, first.select("first.rid"))
+    return _stay(placed, first.select("first.rid"))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
 
     names = docs.columns
-    cut = suffix_dedup.remove_repeats(docs, names, as_text=True)
-    text = F.when(F.col("rest.`text`").isNotNull(), F.col("kept"))
+    # the text is stored once: of the column itself only whether it is null goes along
+    cut = suffix_dedup.remove_repeats(docs.withColumn(_GIVEN, F.col("text").isNotNull()),
+                                      [*(c for c in names if c != "text"), _GIVEN], as_text=True)
+    text = F.when(F.col(f"rest.{_GIVEN}"), F.col("kept"))
     cut = cut.select(*(text.alias("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in names))
     if "n_chars" in names:
         cut = cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text"))

@@ -329,13 +329,18 @@ def _tokens(batches):
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, depth: int = DEPTH,
-                    small: int = SMALL, block: int = BLOCK, seed: int = 11) -> DataFrame:
+                    small: int = SMALL, block: int = BLOCK, seed: int = 11, place: str | None = None) -> DataFrame:
     """One row per document: doc_id, class_id (least doc_id of its class), n_links, rid (its place), class_rid
-    (the same number for all of a class)."""
+    (the same number for all of a class).
+
+    ``place``: a stored column of distinct numbers that is the place; without it the rows are stored with one.
+    """
     if not 0 < threshold <= 1 or not 0 < recall < 1 or not 1 <= depth <= 3:
         raise ValueError("threshold in (0, 1], recall in (0, 1), depth 1 to 3")
-    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("rid"),
-                         text_or_empty().cast("string").alias("text"))
+    rid = F.col(place) if place else F.monotonically_increasing_id()
+    placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), rid.alias("rid"), text_or_empty().cast("string").alias("text"))
+    if not place:
+        placed = written(placed, "chosen-texts")
     signed = written(placed.mapInArrow(_sign(threshold, depth, runs_for(recall, depth), seed), _SIGNED), "chosen-signed")
     reps = written(signed.filter("size > 0").groupBy("d1", "d2", "size")
                    .agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least_id")), "chosen-reps")

@@ -113,17 +113,18 @@ def _runs(batches):
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min",
-                 ranges: int | None = None) -> DataFrame:
+                 ranges: int | None = None, place: str | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, rid (the row's place in the input).
 
-    ``keep``: "min" or "max", the identifier that stays of equal texts.
+    ``keep``: "min" or "max", the identifier that stays of equal texts. ``place``: a stored column of distinct
+    numbers that is the place; without it rid is only good for telling rows of the result apart.
     """
     if keep not in ("min", "max"):
         raise ValueError("keep is min or max")
     spark = docs.sparkSession
     ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     norm = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("norm"),
-                        F.monotonically_increasing_id().alias("rid"))
+                        (F.col(place) if place else F.monotonically_increasing_id()).alias("rid"))
             .mapInArrow(_normalise, "doc_id long, norm string, rid long")
             .withColumn("text_sha256", F.sha2(F.col("norm").cast("binary"), 256))
             .withColumn("_lead", F.substring("norm", 1, PREFIX_CHARS)))

@@ -27,8 +27,8 @@ on an order of documents.
 
 Null texts count as empty. Texts shorter than the window are kept whole.
 Repeated rows are documents of their own (and so remove each other). An empty
-table gives an empty result. The input is read three times and must give the
-same rows in the same order, as a stored table does.
+table gives an empty result. The input is read once: its rows are stored with
+their places, so that a place does not depend on how a later scan is split.
 
 Scale: anchors are about 1 in 80 bytes, as narrow rows; counts are aggregated
 on both sides of the shuffle; texts are shuffled once (both joins with them
@@ -320,8 +320,8 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, as_text: boo
     """One row per document: rid (its place), doc_id, rest (the columns to ``carry``), n_bytes, n_removed,
     n_spans, kept (bytes, or with ``as_text`` a string of the characters that were not cut in two)."""
     rest = F.struct(*(F.col(f"`{c}`") for c in carry)) if carry else F.struct(F.lit(0).alias("none"))
-    texts = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
-                        text_or_empty().cast("string").cast("binary").alias("text"), rest.alias("rest"))
+    texts = written(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+                                text_or_empty().cast("string").cast("binary").alias("text"), rest.alias("rest")), "repeat-texts")
     rest_type = texts.schema["rest"].dataType.simpleString()
     rows = texts.select("rid", "doc_id", "text").mapInArrow(_anchor_rows(WINDOW, GRAM), _ANCHORS)
     twice = (rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("u").alias("u1"), F.max("u").alias("u2"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from cvlens.llm import chosen_path, exact_dedup, suffix_dedup, toxicity, url_filter
+from cvlens.llm import chosen_path, common, exact_dedup, suffix_dedup, toxicity, url_filter
 from cvlens.llm.common import scratch
 from cvlens.session import ship_package
 
@@ -299,3 +299,35 @@ def test_toxicity_decodes_each_kind_of_disguise():
     scorer = toxicity.WordScorer(model, {"=idiot": (9, 0)}, 0.1, 4.0)
     for text in ("y o u i d i o t", "i, d, i, o, t,", "an id-iot"):
         assert scorer.evidence(text)[0] > scorer.evidence("an apple")[0], text
+
+
+def test_places_hold_when_later_scans_are_split_otherwise(spark, monkeypatch):
+    import corpus_pipeline
+    split, was = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def shifting(df, what, store=common.written):
+        out = store(df, what)
+        spark.conf.set(split, "2k" if spark.conf.get(split) != "2k" else was)
+        return out
+
+    for module in (suffix_dedup, chosen_path, exact_dedup, corpus_pipeline):
+        if hasattr(module, "written"):
+            monkeypatch.setattr(module, "written", shifting)
+    rng = random.Random(8)
+    shared = prose(rng, 60)
+    rows = [(i, prose(rng, 40) + (shared if i % 4 == 0 else "") + prose(rng, 40)) for i in range(60)]
+    rows += [(100 + i, rows[i][1]) for i in range(0, 60, 3)] + [(200 + i, rows[i][1] + " end") for i in range(1, 60, 3)]
+    docs = stored(spark, rows, parts=12)
+    try:
+        got = {r.doc_id: r.n_bytes - r.n_removed for r in suffix_dedup.remove_repeats(docs).collect()}
+        near = {r.doc_id: r.class_id for r in chosen_path.near_duplicates(docs).collect()}
+        spark.conf.set(split, was)
+        copies = sorted(r.doc_id for r in corpus_pipeline.drop_copies(spark, docs, "").collect())
+        spark.conf.set(split, was)
+        firsts = sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect())
+    finally:
+        spark.conf.set(split, was)
+    assert got == {i: x[0] - x[1] for (i, _), x in zip(rows, brute_repeats([t for _, t in rows]))}
+    assert {i: near[i] for i in near if i >= 100} == {**{100 + i: i for i in range(0, 60, 3)}, **{200 + i: i for i in range(1, 60, 3)}}
+    assert copies == sorted(i for i, _ in rows if i >= 100 or i % 3)
+    assert firsts == list(range(60))
