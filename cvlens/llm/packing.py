@@ -6,9 +6,11 @@ is packed by bin completion: take the largest piece that is left, enumerate the
 undominated fillings of the room beside it, best fit first, and branch on them.
 The best-fit-decreasing packing is the first incumbent; a branch is cut when
 its waste so far passes what any better packing may waste
-(``(incumbent - 1) * capacity - total``), and the search ends when the
-incumbent meets the bound ``ceil(total / capacity)`` or after ``node_limit``
-nodes (the best packing found stands; nothing is left out).
+(``(incumbent - 1) * capacity - total``). All undominated fillings are
+enumerated, lazily; the search ends when the incumbent meets the bound
+``ceil(total / capacity)``, when nothing is left to try, or when its budget of
+steps is spent. The best packing found then stands: no piece is ever left out,
+which each group checks before it returns.
 
 Spark deals the pieces into groups of about ``group_tokens`` tokens by a hash
 of their place, each group is packed in one task, and the sequences with room
@@ -34,11 +36,11 @@ from cvlens.llm.word_tokens import with_end, word_tokenizer
 
 CAPACITY = 4096
 GROUP_TOKENS = 8 << 20
-# Fillings branched upon at one sequence, and pieces beside its largest in a filling that is searched for exactly.
-FILLINGS = 6
-DEPTH = 4
-# How far below its room the last place of a filling looks for a better pair.
-REACH = 24
+# Fillings of up to so many pieces beside the largest come before longer ones.
+SHORT = 4
+# Budget of the search of one group: so many steps (a sequence filled, or a look for pieces of one sum), and so many a sequence.
+STEPS = 20_000
+STEPS_EACH = 160
 
 
 class _Shelf:
@@ -70,93 +72,90 @@ class _Shelf:
     def smallest(self) -> int:
         return (self.bits & -self.bits).bit_length() - 1 if self.bits else 0
 
-    def pair(self, room: int) -> tuple[int, int] | None:
-        """Two lengths at hand with the sum ``room``, the largest first."""
-        both = self.bits & (self.mirror >> (self.capacity - room)) & ((1 << room) - 1)
+    def pairs(self, room: int, most: int, free) -> Iterator[tuple[int, int]]:
+        """All pairs of lengths at hand with the sum ``room``, none above ``most``, the largest first."""
+        if room < 2:
+            return
+        both = self.bits & (self.mirror >> (self.capacity - room)) & ((1 << (min(most, room - 1) + 1)) - 1)
         while both:
             a = both.bit_length() - 1
             if 2 * a < room:
-                return None
-            if 2 * a != room or self.count[a] > 1:
-                return a, room - a
+                return
+            if free(a, 0) and (2 * a != room or free(a, 1)) and free(room - a, 0):
+                yield a, room - a
             both &= ~(1 << a)
-        return None
 
 
-def _exact(shelf: _Shelf, room: int, depth: int, most: int, tries: list[int]) -> Iterator[tuple[int, ...]]:
-    """Fillings of exactly ``room``, the largest pieces first, none above ``most``."""
-    if room <= most and shelf.count[room]:
-        yield (room,)
-    if depth < 2:
-        return
-    found = shelf.pair(room)
-    if found and found[0] <= most:
-        yield found
-    if depth < 3:
-        return
-    a = shelf.upto(min(room - 1, most))
-    while a and tries[0] > 0 and a * depth >= room:
-        tries[0] -= 1
-        shelf.take(a)
-        for rest in _exact(shelf, room - a, depth - 1, a, tries):
-            if len(rest) > 1:
-                yield (a, *rest)
-                break
-        shelf.put(a)
-        a = shelf.upto(a - 1)
-
-
-def _loose(shelf: _Shelf, room: int, width: int) -> Iterator[tuple[int, ...]]:
-    """Fillings that leave waste: each begins with another piece and goes on best fit."""
-    a = shelf.upto(room)
-    while a and width:
-        got, left = [], room
-        x = a
-        while x:
-            shelf.take(x)
-            got.append(x)
-            left -= x
-            x = shelf.upto(min(left, x))
-        # not the best that ends it: two smaller pieces may leave less than the last one
-        for y in got:
-            shelf.put(y)
-        yield tuple(got)
-        a = shelf.upto(a - 1)
-        width -= 1
-
-
-def fillings(shelf: _Shelf, room: int, most_waste: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first, then the largest pieces.
-
-    One piece that fills the room dominates all others. Fillings that leave
-    room for a further piece, or waste more than ``most_waste``, are dominated
-    or pruned.
+class _Steps:
+    """What is left of a search's budget."""
+
+    def __init__(self, n: int):
+        self.left = n
+
+
+def _exact(shelf: _Shelf, total: int, n: int, most: int, used: tuple[int, ...], steps: _Steps) -> Iterator[tuple[int, ...]]:
+    """All ways to make up ``total`` with ``n`` more pieces that are left, none above ``most``, the largest first.
+
+    The shelf is only read (``used`` are the pieces already in the filling), so it does not matter whether the
+    iterator is ever finished.
+    """
+    def free(x: int, taken: int) -> bool:
+        return shelf.count[x] > taken + used.count(x)
+
+    steps.left -= 1
+    if n == 1:
+        if 0 < total <= most and free(total, 0):
+            yield (total,)
+    elif n == 2:
+        yield from shelf.pairs(total, most, free)
+    else:
+        a = shelf.upto(min(total - (n - 1) * shelf.smallest(), most))
+        while a and a * n >= total and steps.left > 0:
+            if free(a, 0):
+                for rest in _exact(shelf, total - a, n - 1, a, (*used, a), steps):
+                    yield (a, *rest)
+            a = shelf.upto(a - 1)
+
+
+def _dominated(shelf: _Shelf, filling: tuple[int, ...], waste: int) -> bool:
+    """Whether a piece that is left fits into the waste, or in the place of a smaller one of the filling."""
+    if not waste:
+        return False
+    for y in (0, *sorted(set(filling))):
+        x = shelf.upto(y + waste)
+        while x > y:
+            if shelf.count[x] > filling.count(x):
+                return True
+            x = shelf.upto(x - 1)
+    return False
+
+
+def fillings(shelf: _Shelf, room: int, most_waste: int, steps: _Steps) -> Iterator[tuple[int, ...]]:
+    """All undominated fillings of ``room`` that waste at most ``most_waste``, until ``steps`` are spent.
+
+    Least waste first, then the fewest and largest pieces; those of more than ``SHORT`` pieces come after the
+    others. One piece that fills the room dominates all else; fillings that leave room for a further piece, or
+    for a larger one in the place of one of theirs, are dominated.
     """
-    if room <= 0 or not shelf.bits or shelf.smallest() > room:
-        return [()] if room <= most_waste else []
+    smallest = shelf.smallest()
+    if room <= 0 or not smallest or smallest > room:
+        if room <= most_waste:
+            yield ()
+        return
     if shelf.count[room]:
-        return [(room,)]
-    found: dict[tuple[int, ...], None] = {}
-    for f in _exact(shelf, room, DEPTH, room, [16]):
-        found[f] = None
-        if len(found) >= FILLINGS:
-            break
-    if len(found) < 2:
-        for f in _loose(shelf, room, FILLINGS):
-            found.setdefault(f)
-            # the last piece against the best pair in its place
-            last = room - sum(f[:-1])
-            for r in range(last, max(f[-1], last - REACH), -1):
-                for y in f[:-1]:
-                    shelf.take(y)
-                p = shelf.pair(r)
-                for y in f[:-1]:
-                    shelf.put(y)
-                if p:
-                    found.setdefault((*f[:-1], *p))
+        yield (room,)
+        return
+    most = room // smallest
+    for counts in (range(1, min(SHORT, most) + 1), range(SHORT + 1, most + 1)):
+        for waste in range(0, min(most_waste, room - smallest) + 1):
+            for n in counts:
+                if n * smallest > room - waste:
                     break
-    kept = [(room - sum(f), tuple(-x for x in f), f) for f in found]
-    return [f for w, _, f in sorted(kept) if w <= most_waste]
+                for f in _exact(shelf, room - waste, n, room, (), steps):
+                    if not _dominated(shelf, f, waste):
+                        yield f
+                if steps.left <= 0:
+                    return
 
 
 def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -182,71 +181,105 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def complete_bins(lengths: list[int], capacity: int = CAPACITY, node_limit: int | None = None) -> list[list[int]]:
-    """Pack ``lengths`` into as few sequences as the search finds; lists of lengths."""
+def complete_bins(lengths: list[int], capacity: int = CAPACITY, step_limit: int | None = None) -> list[list[int]]:
+    """Pack ``lengths`` into as few sequences as the search finds; lists of lengths.
+
+    Limited discrepancy search: the first pass takes the first filling everywhere, the next lets one sequence take
+    a later one (the last sequences first), and so on until a pass was not held back by its limit. Without a
+    ``step_limit`` of its own the search of n sequences has ``STEPS + STEPS_EACH * n`` steps.
+    """
     total = sum(lengths)
     bound = -(-total // capacity)
     best = best_fit_decreasing(lengths, capacity)
     if len(best) <= bound:
         return best
-    node_limit = node_limit or len(best) * 5 // 4 + 500
     shelf = _Shelf(lengths, capacity)
+    steps = _Steps(step_limit or STEPS + STEPS_EACH * len(best))
+    late = 0
+    while steps.left > 0:
+        best, held_back = _search(shelf, best, total, late, steps)
+        if len(best) <= bound or not held_back:
+            break
+        late += 1
+    return best
+
+
+def _search(shelf: _Shelf, best: list[list[int]], total: int, late: int, steps: _Steps) -> tuple[list[list[int]], bool]:
+    """(the best packing known, whether ``late`` later choices a path were too few); the shelf is left as it was given."""
+    capacity = shelf.capacity
+    bound = -(-total // capacity)
     allowed = (len(best) - 1) * capacity - total
-    path: list[tuple[int, tuple[int, ...], int]] = []  # largest, filling, waste so far
-    levels: list[list] = []
-    nodes, waste = 0, 0
+    path: list[tuple[int, tuple[int, ...], int, int]] = []  # largest, filling, waste and later choices before it
+    levels: list[list] = []  # largest, its fillings, how many were taken
+    waste = turns = 0
+    held_back = False
 
     def descend() -> None:
         top = shelf.bits.bit_length() - 1
         shelf.take(top)
-        levels.append([top, iter(fillings(shelf, capacity - top, allowed - waste))])
+        levels.append([top, fillings(shelf, capacity - top, allowed - waste, steps), 0])
+
+    def undo() -> tuple[int, int]:
+        _, filling, waste_before, turns_before = path.pop()
+        for x in filling:
+            shelf.put(x)
+        return waste_before, turns_before
 
     descend()
-    while levels and nodes < node_limit:
-        top, options = levels[-1]
-        if len(path) == len(levels):  # come back from below: undo this level's filling
-            _, filling, before = path.pop()
-            for x in filling:
-                shelf.put(x)
-            waste = before
-        filling = next(options, None)
+    while levels:
+        if len(path) == len(levels):  # come back from below
+            waste, turns = undo()
+        top, options, taken = levels[-1]
+        filling = next(options, None) if steps.left > 0 else None
+        if filling is not None and taken and turns >= late:
+            held_back, filling = True, None
         if filling is None:
             shelf.put(top)
             levels.pop()
             continue
+        levels[-1][2] += 1
         more = capacity - top - sum(filling)
         if waste + more > allowed:
             continue
-        nodes += 1
-        path.append((top, filling, waste))
+        steps.left -= 1
+        path.append((top, filling, waste, turns))
         for x in filling:
             shelf.take(x)
         waste += more
+        turns += taken > 0
         if shelf.bits:
             descend()
             continue
-        best = [[t, *f] for t, f, _ in path]
+        best = [[t, *f] for t, f, _, _ in path]
+        allowed = (len(best) - 1) * capacity - total
         if len(best) <= bound:
             break
-        allowed = (len(best) - 1) * capacity - total
-    return best
+    while levels:  # the bound was met: give back what the path holds
+        if len(path) == len(levels):
+            undo()
+        shelf.put(levels.pop()[0])
+    return best, held_back
 
 
-def _pack_group(capacity: int, node_limit: int | None):
+def _pack_group(capacity: int, step_limit: int | None):
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("piece_key", kind="stable")
         lengths = pdf["length"].to_numpy()
         at: dict[int, list[int]] = {}
         for i in range(len(lengths) - 1, -1, -1):
             at.setdefault(int(lengths[i]), []).append(i)
-        number, offset, room = (np.zeros(len(pdf), np.int64) for _ in range(3))
-        for b, members in enumerate(complete_bins([int(x) for x in lengths], capacity, node_limit)):
+        number, offset, room = (np.full(len(pdf), -1, np.int64) for _ in range(3))
+        for b, members in enumerate(complete_bins([int(x) for x in lengths], capacity, step_limit)):
             place = 0
             own = [at[x].pop() for x in members]
             for i in own:
                 number[i], offset[i] = b, place
                 place += int(lengths[i])
             room[own] = capacity - place
+            if place > capacity:
+                raise RuntimeError(f"sequence {b} holds {place} tokens")
+        if (number < 0).any() or any(at.values()):
+            raise RuntimeError("packing did not place every piece once")
         return pd.DataFrame({"piece_key": pdf["piece_key"], "length": lengths, "grp": pdf["grp"], "bin": number,
                              "offset": offset, "room": room})
     return pack
@@ -255,14 +288,14 @@ def _pack_group(capacity: int, node_limit: int | None):
 _PACKED = "piece_key long, length long, grp long, bin long, offset long, room long"
 
 
-def _round(pieces: DataFrame, n_groups: int, capacity: int, node_limit: int | None, salt: int) -> DataFrame:
+def _round(pieces: DataFrame, n_groups: int, capacity: int, step_limit: int | None, salt: int) -> DataFrame:
     grp = F.pmod(F.xxhash64(F.lit(salt), "piece_key"), F.lit(n_groups))
     return (pieces.select("piece_key", "length").withColumn("grp", grp)
-            .groupBy("grp").applyInPandas(_pack_group(capacity, node_limit), _PACKED))
+            .groupBy("grp").applyInPandas(_pack_group(capacity, step_limit), _PACKED))
 
 
 def pack_lengths(pieces: DataFrame, capacity: int = CAPACITY, group_tokens: int = GROUP_TOKENS,
-                 node_limit: int | None = None) -> DataFrame:
+                 step_limit: int | None = None) -> DataFrame:
     """(piece_key, sequence_id, offset) for ``pieces`` (piece_key long, unique and not negative; length long).
 
     Sequences of one full piece take the piece's key as their number; packed
@@ -277,7 +310,7 @@ def pack_lengths(pieces: DataFrame, capacity: int = CAPACITY, group_tokens: int
         if not tokens:
             break
         n_groups = -(-int(tokens) // group_tokens)
-        packed = written(_round(left, n_groups, capacity, node_limit, turn), "packed")
+        packed = written(_round(left, n_groups, capacity, step_limit, turn), "packed")
         last = turn == 1 or n_groups == 1
         closed = packed if last else packed.filter("room = 0")
         done.append(closed.select("piece_key", (-1 - (((F.lit(turn) + F.col("grp") * 2) * F.lit(1 << 24)) + F.col("bin"))).alias("sequence_id"),

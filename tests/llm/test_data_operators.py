@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -163,17 +164,67 @@ def test_bin_completion_is_optimal_on_small_cases():
     for _ in range(150):
         capacity = rng.choice((20, 50, 97))
         lengths = [rng.randint(1, capacity - 1) if rng.random() < 0.5 else rng.randint(capacity // 4, capacity // 2) for _ in range(rng.randint(1, 10))]
-        bins = packing.complete_bins(lengths, capacity, node_limit=100_000)
+        bins = packing.complete_bins(lengths, capacity)
         assert sorted(itertools.chain(*bins)) == sorted(lengths) and all(sum(b) <= capacity for b in bins)
         assert len(bins) == least_bins(lengths, capacity), (lengths, capacity)
         beaten += len(bins) < len(packing.best_fit_decreasing(lengths, capacity))
-    assert len(packing.complete_bins([6, 5, 4, 4, 4, 3, 3, 3, 3, 5], 10, 100_000)) == 4
+    assert len(packing.complete_bins([6, 5, 4, 4, 4, 3, 3, 3, 3, 5], 10)) == 4
     assert packing.complete_bins([], 10) == []
 
 
 def test_bin_completion_beats_best_fit():
     lengths = [44, 24, 24, 22, 21, 17, 8, 8, 6, 6]
-    assert len(packing.best_fit_decreasing(lengths, 60)) == 4 and len(packing.complete_bins(lengths, 60, 100_000)) == 3
+    assert len(packing.best_fit_decreasing(lengths, 60)) == 4 and len(packing.complete_bins(lengths, 60)) == 3
+
+
+def test_no_piece_is_lost_by_the_production_search():
+    rng = random.Random(5)
+    above_best_fit = above = 0
+    for n in range(400):
+        lengths = [rng.randint(400, 1500) for _ in range(60)]
+        bins = packing.complete_bins(lengths)
+        assert sorted(itertools.chain(*bins)) == sorted(lengths) and all(sum(b) <= 4096 for b in bins)
+        bound = -(-sum(lengths) // 4096)
+        above += len(bins) > bound
+        above_best_fit += len(packing.best_fit_decreasing(lengths, 4096)) > bound
+    assert above_best_fit > 50 and above < 10
+
+
+@pytest.mark.parametrize("low, high, n", [(600, 1400, 3000), (1, 4095, 1500), (1300, 1500, 600)])
+def test_a_group_places_every_piece_once(low, high, n):
+    rng = random.Random(n)
+    pieces = pd.DataFrame({"piece_key": range(n), "length": [rng.randint(low, high) for _ in range(n)], "grp": 0})
+    got = packing._pack_group(4096, None)(pieces.copy())
+    assert sorted(zip(got.piece_key, got.length)) == sorted(zip(pieces.piece_key, pieces.length))
+    for _, members in got.groupby("bin"):
+        members = members.sort_values("offset")
+        ends = members.offset + members.length
+        assert members.offset.tolist() == [0, *ends.tolist()[:-1]] and ends.max() <= 4096 and (members.room == 4096 - ends.max()).all()
+    assert got.bin.nunique() <= len(packing.best_fit_decreasing(pieces.length.tolist(), 4096))
+
+
+def test_fillings_are_all_undominated_ones():
+    rng = random.Random(4)
+    for _ in range(60):
+        lengths = [rng.randint(3, 40) for _ in range(9)]
+        room, most_waste = rng.randint(20, 90), rng.randint(0, 15)
+        shelf = packing._Shelf(lengths, 100)
+        before = list(shelf.count), shelf.bits
+        got = list(packing.fillings(shelf, room, most_waste, packing._Steps(10 ** 6)))
+        next(packing.fillings(shelf, room, most_waste, packing._Steps(10 ** 6)), None)  # an abandoned one changes nothing
+        assert (list(shelf.count), shelf.bits) == before and len(set(got)) == len(got)
+        every = {tuple(sorted(c, reverse=True)) for k in range(10) for c in itertools.combinations(lengths, k) if sum(c) <= room}
+        if room in lengths:
+            assert got == [(room,)]
+            continue
+
+        def dominated(f):
+            left = list(lengths)
+            for x in f:
+                left.remove(x)
+            gap = room - sum(f)
+            return any(x <= gap for x in left) or any(y < x <= y + gap for x in left for y in f)
+        assert set(got) == {f for f in every if room - sum(f) <= most_waste and not dominated(f)}
 
 
 @pytest.mark.parametrize("group_tokens", [3000, 1 << 23])
