@@ -1,19 +1,19 @@
 """Vocabulary, binary skill features, TF-IDF and the train/test split.
 
 The long form (id, index) is the scalable representation; ML vectors are
-built from it only where a model needs them. Vectors are as wide as the
-vocabulary, whose names the driver then holds.
+built from it only where a model needs them. Vocabularies are tables.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from cvlens.session import stored
+from cvlens.session import scratch_table, stored
 
 # monotonically_increasing_id is the partition number above 33 bits of position.
 _POSITION_BITS = 33
@@ -58,17 +58,32 @@ def feature_long(resumes: DataFrame, vocab: DataFrame, skills_col: str = "normal
     return s.join(vocab, "skill").select(id_col, "idx")
 
 
-def vocabulary_list(vocab: DataFrame) -> list[str]:
-    """The skill names in index order, on the driver: as long as the vectors built with them are wide."""
-    return [r[0] for r in vocab.orderBy("idx").select("skill").collect()]
+_SPARSE = "struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
 
 
-def skill_vectors(resumes: DataFrame, vocab_list: list[str], skills_col: str = "normalized_skills",
+def skill_vectors(resumes: DataFrame, vocab: DataFrame, skills_col: str = "normalized_skills",
                   out_col: str = "features") -> DataFrame:
-    """Binary SparseVector per resume (every resume keeps a row, even without skills)."""
-    model = CountVectorizerModel.from_vocabulary(vocab_list, inputCol="_skills", outputCol=out_col, binary=True)
-    df = resumes.withColumn("_skills", F.coalesce(F.col(skills_col), F.array().cast("array<string>")))
-    return model.transform(df).drop("_skills")
+    """``resumes`` with ``feature_idx`` (the numbers of its skills, ascending) and a binary SparseVector of them.
+
+    Vectors come from the long form: every row keeps a row, even without
+    skills, and the names never leave the table. The sparse vector is written
+    as its storage layout and read back as a vector, so no row passes through
+    Python.
+    """
+    spark = resumes.sparkSession
+    rows = stored(resumes.withColumn("_row", F.monotonically_increasing_id()), "resume-rows")
+    size = vocab.count()
+    lists = (feature_long(rows, vocab, skills_col, "_row").groupBy("_row")
+             .agg(F.array_sort(F.collect_list(F.col("idx").cast("int"))).alias("feature_idx")))
+    idx = F.coalesce("feature_idx", F.array().cast("array<int>"))
+    vector = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), idx.alias("indices"),
+                      F.transform(idx, lambda _: F.lit(1.0)).alias("values")).cast(_SPARSE)
+    out = (rows.join(lists, "_row", "left").withColumns({"feature_idx": idx, out_col: vector})
+           .select(*[F.col(f"`{c}`") for c in resumes.columns if c not in ("feature_idx", out_col)], "feature_idx", out_col))
+    path = scratch_table(spark, "skill-vectors")
+    out.write.parquet(path)
+    fields = [f for f in out.schema.fields if f.name != out_col] + [StructField(out_col, VectorUDT())]
+    return spark.read.schema(StructType(fields)).parquet(path)
 
 
 # ---- text features ------------------------------------------------------------
@@ -94,6 +109,24 @@ def tfidf_long(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return w.select(id_col, "term", (F.col("w") / norm).alias("weight"))
 
 
+def term_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, term, tf): how often each term is in each text."""
+    return docs.select(id_col, F.explode(tokens(text_col)).alias("term")).groupBy(id_col, "term").agg(F.count("*").alias("tf"))
+
+
+def text_vocabulary(counts: DataFrame, n_docs: int) -> DataFrame:
+    """(term, idf, idx) of all terms of ``term_counts``, numbered in code-point order; idf = ln((1+n)/(1+df)) + 1."""
+    known = counts.groupBy("term").agg((F.log((1.0 + n_docs) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
+    return _indexed(known, "term", "idx")
+
+
+def tfidf_weights(counts: DataFrame, vocab: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, idx, weight): tf x idf of the vocabulary's terms, L2 per document; other terms are ignored."""
+    w = counts.join(vocab, "term").select(id_col, "idx", (F.col("tf") * F.col("idf")).alias("w"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
+    return w.select(id_col, "idx", (F.col("w") / norm).alias("weight"))
+
+
 # ---- split ------------------------------------------------------------------
 
 def split_train_test(df: DataFrame, id_col: str = "resume_id", test_size: float = 0.2,

@@ -17,17 +17,19 @@ from cvlens.functions.sections import SECTION_NAMES, add_sections
 from cvlens.functions.text import clean_text
 from cvlens.operators import cluster as K
 from cvlens.operators import features as FE
-from cvlens.operators.skills import dictionary_terms, explicit_skills, implicit_skills, normalize_skills
+from cvlens.operators.skills import dictionary_terms, explicit_skills, find_terms, normalize_skills
 from cvlens.session import stored
 
 
 def extract_skills(resumes: DataFrame, aliases: DataFrame, text_col: str = "resume_str") -> DataFrame:
     """``resumes`` with clean, its sections, explicit_skills, implicit_skills and skills (both, in order)."""
-    terms = dictionary_terms(aliases)
-    out = add_sections(resumes.withColumn("clean", clean_text(text_col)), "clean", prefix="sec_")
-    out = out.withColumns({"explicit_skills": explicit_skills("sec_skills"),
-                           "implicit_skills": implicit_skills(F.concat_ws("\n", "sec_experience", "sec_projects"), terms)})
-    return out.withColumn("skills", F.concat("explicit_skills", "implicit_skills"))
+    cut = add_sections(resumes.withColumn("clean", clean_text(text_col)), "clean", prefix="sec_")
+    base = stored(cut.withColumns({"explicit_skills": explicit_skills("sec_skills"), "_row": F.monotonically_increasing_id()}), "sections")
+    told = base.select("_row", F.concat_ws("\n", "sec_experience", "sec_projects").alias("_told"))
+    found = find_terms(told, dictionary_terms(aliases), "_row", "_told")
+    implicit = F.coalesce("implicit_skills", F.array().cast("array<string>"))
+    return (base.join(found, "_row", "left").withColumn("implicit_skills", implicit)
+            .withColumn("skills", F.concat("explicit_skills", "implicit_skills")).drop("_row"))
 
 
 def structure_resumes(resumes: DataFrame, aliases: DataFrame, cutoff: float = 85.0) -> DataFrame:
@@ -45,11 +47,11 @@ def structure_resumes(resumes: DataFrame, aliases: DataFrame, cutoff: float = 85
 
 
 def resume_features(structured: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(vectors, vocabulary): ``structured`` with a binary ``features`` vector, and (skill, idx)."""
+    """(vectors, vocabulary): ``structured`` with ``feature_idx`` and a binary ``features`` vector, and (skill, idx)."""
     if structured.isEmpty():
         raise ValueError("no resumes to build features from")
     vocab = FE.vocabulary(structured)
-    return FE.skill_vectors(structured, FE.vocabulary_list(vocab)), vocab
+    return FE.skill_vectors(structured, vocab), vocab
 
 
 @dataclass

@@ -1,10 +1,11 @@
 """Skill candidates and normalisation.
 
-Candidates are row-local Column expressions (no shuffle):
+Candidates:
 
-* explicit (P5): items of the SKILLS section split on ``, ; | newline``;
-* implicit (P6): dictionary terms found in EXPERIENCE + PROJECTS text by one
-  trie-shaped regex (longest term first at each word start).
+* explicit (P5): items of the SKILLS section split on ``, ; | newline``, row-local;
+* implicit (P6): dictionary terms found in EXPERIENCE + PROJECTS text by an
+  equi-join of the text's spans with the dictionary, which may be of any size
+  (Spark broadcasts it or not by its size).
 
 Both replace the reference's language-model tagging and therefore differ from
 it by design; see README.
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from cvlens.functions.fuzzy import admissible_lengths, edit_bound, indel_similarity
 from cvlens.functions.text import strip_ws
+from cvlens.session import stored
 
 ITEM_SPLIT = r"[,;\n|]"
 
@@ -42,49 +44,54 @@ def explicit_skills(skills_section) -> Column:
     return F.array_distinct(F.filter(cands, lambda s: F.length(s) > 1))
 
 
-def usable_terms(terms) -> list[str]:
-    """Lower-cased, stripped, distinct dictionary terms."""
-    return sorted({t.strip().lower() for t in terms if t and t.strip()})
+ELEMENT = r"[A-Za-z0-9_]+|[^A-Za-z0-9_]"
 
 
-def _is_word(ch: str) -> bool:
-    return ch.isascii() and (ch.isalnum() or ch == "_")
+def _elements(col) -> Column:
+    """Runs of ASCII word characters, and every other character by itself."""
+    return F.regexp_extract_all(col, F.lit(ELEMENT), 0)
 
 
-def _esc(ch: str) -> str:
-    return ch if _is_word(ch) or ch == " " or not ch.isascii() else "\\" + ch
+def dictionary_terms(aliases: DataFrame) -> DataFrame:
+    """(term, n): the lower-cased, stripped, distinct alias keys and canonical names and their number of elements."""
+    both = aliases.select(F.explode(F.array("alias", "canonical")).alias("t"))
+    terms = both.select(F.lower(strip_ws("t")).alias("term")).where(F.col("term") != "").distinct()
+    return stored(terms.withColumn("n", F.size(_elements(F.col("term")))), "terms")
 
 
-def term_pattern(terms) -> str:
-    """One trie-shaped group: at each place the longest term is tried first.
+def find_terms(texts: DataFrame, terms: DataFrame, row_col: str, text_col: str, out_col: str = "implicit_skills") -> DataFrame:
+    """(row, out): the dictionary terms in each text (lower case), in order of their first occurrence.
 
-    A term ends and begins at a word boundary where its own edge is a word
-    character (``java``), and away from one where it is not (``.net``, ``c++``).
+    Texts are cut into elements; spans of as many elements as some term has are
+    rows, and an equi-join with the dictionary keeps those that are terms. Spans
+    begin and end where no word character is beside them. Of the hits of a row
+    the leftmost counts, of those that begin together the longest, and what it
+    covers is used up. Rows without a hit are not in the result. The driver
+    only learns which numbers of elements there are.
     """
-    trie: dict = {}
-    for t in usable_terms(terms):
-        node = trie
-        for ch in t:
-            node = node.setdefault(ch, {})
-        node[""] = {}
-
-    def emit(node: dict, last: str) -> str:
-        alts = [_esc(ch) + emit(child, ch) for ch, child in sorted(node.items()) if ch != ""]
-        if "" in node:
-            alts.append(r"\b" if _is_word(last) else r"\B")
-        return alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
-
-    heads = [(r"\b" if _is_word(ch) else r"\B") + _esc(ch) + emit(child, ch) for ch, child in sorted(trie.items())]
-    return "(" + "|".join(heads) + ")"
-
-
-def implicit_skills(text, terms) -> Column:
-    """Dictionary terms occurring in ``text`` (lower case), first occurrence order."""
-    t = F.col(text) if isinstance(text, str) else text
-    if not usable_terms(terms):
-        return F.array().cast("array<string>")
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(t, F.lit(""))),
-                                                 F.lit(term_pattern(terms)), 1))
+    sizes = sorted(r["n"] for r in terms.select("n").distinct().collect())  # small numbers, as many as the longest term has
+    el = F.col("_el")
+    word = lambda x: x.rlike(r"^\w")
+
+    def spans(x: Column, i: Column) -> Column:
+        begins = word(x) | (i == 0) | ~word(F.get(el, i - 1))
+        every = []
+        for n in sizes:
+            parts = [x, *[F.get(el, i + k) for k in range(1, n)]]
+            ends = word(parts[-1]) | F.coalesce(~word(F.get(el, i + n)), F.lit(True))
+            every.append(F.struct(i.alias("at"), F.when(ends, F.concat(*parts)).alias("span")))
+        return F.when((x != " ") & begins, F.filter(F.array(*every), lambda c: c["span"].isNotNull()))
+
+    if not sizes:
+        return texts.select(row_col, F.array().cast("array<string>").alias(out_col)).limit(0)
+    cut = texts.select(row_col, _elements(F.lower(F.coalesce(F.col(text_col), F.lit("")))).alias("_el"))
+    rows = cut.select(row_col, F.explode(F.transform("_el", spans)).alias("_s")).select(row_col, F.inline("_s"))
+    hits = (rows.join(terms.withColumnRenamed("term", "span"), "span").groupBy(row_col)
+            .agg(F.array_sort(F.collect_list(F.struct("at", (-F.col("n")).alias("less"), "span"))).alias("_h")))
+    start = F.struct(F.lit(0).alias("free"), F.array().cast("array<string>").alias("found"))
+    taken = F.aggregate("_h", start, lambda a, h: F.when(h["at"] >= a["free"], F.struct(
+        (h["at"] - h["less"]).alias("free"), F.array_append(a["found"], h["span"]).alias("found"))).otherwise(a), lambda a: F.array_distinct(a["found"]))
+    return hits.select(row_col, taken.alias(out_col))
 
 
 def skill_set(explicit: Column, implicit: Column) -> Column:
@@ -92,12 +99,6 @@ def skill_set(explicit: Column, implicit: Column) -> Column:
     return F.struct(explicit.alias("explicit_skills"), implicit.alias("implicit_skills"))
 
 
-def dictionary_terms(aliases: DataFrame) -> list[str]:
-    """Alias keys and canonical names, on the driver: they become one pattern."""
-    rows = aliases.select("alias", "canonical").collect()
-    return [r[0] for r in rows] + [r[1] for r in rows]
-
-
 def exact_mapping(skills: DataFrame, aliases: DataFrame, skill_col: str = "skill") -> DataFrame:
     """(skill, exact) for every distinct stripped skill; exact is null without an alias."""
     uniq = (skills.select(strip_ws(F.col(skill_col)).alias("skill"))

@@ -10,6 +10,7 @@ from cvlens import sinks
 from cvlens.functions.predicates import is_noise_skill, is_noise_skill_sql
 from cvlens.functions.text import decode_text
 from cvlens.operators import classify as C
+from cvlens.operators import textmodel as T
 from cvlens.operators import metrics as M
 from cvlens.operators import scoring as S
 from cvlens.operators import validation as V
@@ -237,16 +238,29 @@ def q_vocabulary_sink(spark, sf):
 
 @register("model_roundtrip", f"""WITH {MO._SPLIT_SQL} SELECT resume_id, true AS same FROM sp WHERE is_test""")
 def q_model_roundtrip(spark, sf):
-    """A saved and loaded model predicts the same."""
+    """A saved and loaded forest predicts the same."""
     sp = MO._split_structured(spark, sf)
-    model = C.train(sp.where("split = 'train'"), "category", text_col=None, skills_col="skill_vec")
+    model = C.train_forest(sp.where("split = 'train'"), features_col="skill_vec")
     path = FS.scratch_dir(spark, "model")
     sinks.save_classifier(model, path)
-    again = sinks.load_classifier(path, text_col=None)
+    again = sinks.load_classifier(path)
     said = lambda m, c: m.transform(sp.where("split = 'test'")).select("resume_id", F.col("prediction").alias(c))
     return said(model, "a").join(said(again, "b"), "resume_id").select("resume_id", (F.col("a") == F.col("b")).alias("same"))
 
 
+@register("text_model_roundtrip", f"""WITH {MO._SPLIT_SQL} SELECT resume_id, true AS same FROM sp WHERE is_test""")
+def q_text_model_roundtrip(spark, sf):
+    """A saved and loaded text model gives the same probabilities."""
+    sp = MO._split_documents(spark, sf)
+    test = sp.where("split = 'test'").select("resume_id", "text")
+    model = T.train(sp.where("split = 'train'"), "category")
+    path = FS.scratch_dir(spark, "text-model")
+    model.save(path)
+    said = lambda m, c: m.transform(test).select("resume_id", F.col("probability").alias(c))
+    near = F.forall(F.zip_with("a", "b", lambda x, y: F.abs(x - y) < 1e-9), lambda x: x)
+    return said(model, "a").join(said(T.load(spark, path), "b"), "resume_id").select("resume_id", near.alias("same"))
+
+
 # ---- dictionaries and jobs from files --------------------------------------------
 
 @register("alias_file", f"""SELECT alias, min(canonical) AS canonical FROM {part_aliases_sql()} GROUP BY alias""")

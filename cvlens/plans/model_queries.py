@@ -13,6 +13,7 @@ from cvlens.operators import classify as C
 from cvlens.operators import cluster as K
 from cvlens.operators import features as FE
 from cvlens.operators import resumes as R
+from cvlens.operators import textmodel as T
 from cvlens.plans.registry import r6, register
 from cvlens.session import stored
 from cvlens.sources.aliases import part_aliases
@@ -98,42 +99,92 @@ _SPLIT_SQL = """sp AS (SELECT CAST(doc_id AS VARCHAR) AS resume_id, lang AS cate
 _TEST_SQL = f"""WITH {_SPLIT_SQL}
 SELECT resume_id, category, true AS known_label FROM sp WHERE is_test"""
 
+_OPTIMUM_SQL = f"""WITH {_SPLIT_SQL}
+SELECT resume_id, category, true AS known_label, true AS at_optimum FROM sp WHERE is_test"""
+
 
 def _split_structured(spark, sf):
     vectors, _ = R.resume_features(structured(spark, sf))
-    vectors = vectors.select("resume_id", F.col("job_category").alias("category"), "text", F.col("features").alias("skill_vec"))
-    return stored(FE.split_train_test(vectors, "resume_id"), "split")
+    vectors = vectors.select("resume_id", F.col("job_category").alias("category"), "text", "normalized_skills", F.col("features").alias("skill_vec"))
+    return FE.split_train_test(vectors, "resume_id")
 
 
-_KINDS = {"baseline": {"text_col": "text"}, "hybrid": {"text_col": "text", "skills_col": "skill_vec"},
-          "rf": {"text_col": None, "skills_col": "skill_vec"}}
+def _split_documents(spark, sf):
+    d = documents(spark, sf).select(F.col("doc_id").cast("string").alias("resume_id"), F.col("lang").alias("category"), "text")
+    return stored(FE.split_train_test(d, "resume_id"), "split")
 
 
-def _fit(sp, kind):
-    return C.train(sp.where("split = 'train'"), "category", **_KINDS[kind])
+def _split_lists(spark, sf):
+    s = structured(spark, sf).select("resume_id", F.col("job_category").alias("category"), "text", "normalized_skills")
+    return stored(FE.split_train_test(s, "resume_id"), "split")
 
 
-def _predictions(spark, sf, kind):
-    """Test rows, and whether each prediction is a label of the training rows."""
-    sp = _split_structured(spark, sf)
-    labels = sp.where("split = 'train'").select(F.col("category").alias("prediction"), F.lit(True).alias("known_label")).distinct()
-    said = _fit(sp, kind).transform(sp.where("split = 'test'")).select("resume_id", "category", "prediction")
-    return said.join(labels, "prediction", "left").select("resume_id", "category", F.coalesce("known_label", F.lit(False)).alias("known_label"))
+def _fit_text(spark, sf, hybrid: bool):
+    """(fitted model, test rows): the baseline reads texts only, the hybrid skill lists too."""
+    sp = _split_lists(spark, sf) if hybrid else _split_documents(spark, sf)
+    return T.train(sp.where("split = 'train'"), "category", "text", "normalized_skills" if hybrid else None), sp.where("split = 'test'")
+
+
+def _known(model, said):
+    return said.select("resume_id", "category", F.col("prediction").isin(model.labels).alias("known_label"))
+
 
+def _at_optimum(spark, sf, hybrid):
+    """Test rows, whether the prediction is a training label, and whether the model is the loss's one optimum."""
+    model, test = _fit_text(spark, sf, hybrid)
+    return _known(model, model.transform(test)).withColumn("at_optimum", F.lit(model.gradient_size() <= 1.05e-4))
 
-@register("baseline_lr", _TEST_SQL)
+
+@register("baseline_lr", _OPTIMUM_SQL)
 def q_baseline_lr(spark, sf):
-    return _predictions(spark, sf, "baseline")
+    return _at_optimum(spark, sf, False)
 
 
-@register("hybrid_lr", _TEST_SQL)
+@register("hybrid_lr", _OPTIMUM_SQL)
 def q_hybrid_lr(spark, sf):
-    return _predictions(spark, sf, "hybrid")
+    return _at_optimum(spark, sf, True)
+
+
+@register("baseline_predictions")
+def q_baseline_predictions(spark, sf):
+    """Prediction and its probability of every test row (no SQL: the optimum of an iterative fit)."""
+    model, test = _fit_text(spark, sf, False)
+    return model.transform(test).select("resume_id", "category", "prediction", F.array_max("probability").alias("confidence"))
+
+
+@register("hybrid_probabilities")
+def q_hybrid_probabilities(spark, sf):
+    """The probability of every class for every test row (no SQL: the optimum of an iterative fit)."""
+    model, test = _fit_text(spark, sf, True)
+    return model.predict_proba(test)
+
+
+@register("model_shape", f"""WITH {_SPLIT_SQL},
+t AS (SELECT category, unnest({_TOK}) AS term FROM documents JOIN sp ON resume_id = CAST(doc_id AS VARCHAR) WHERE NOT is_test),
+c AS (SELECT DISTINCT category FROM sp WHERE NOT is_test)
+SELECT kind, class, n, sums_to_zero FROM (SELECT 'term' AS kind, c.category AS class, (SELECT count(DISTINCT term) FROM t) AS n, true AS sums_to_zero FROM c
+  UNION ALL SELECT 'intercept', c.category, 1, true FROM c)""")
+def q_model_shape(spark, sf):
+    """Coefficients by kind and class: one of each term a class; at the optimum the classes' coefficients of a term add up to 0."""
+    model, _ = _fit_text(spark, sf, False)
+    table = stored(model.coefficients(), "coefficient-names")
+    sums = table.groupBy("kind", "name").agg(F.sum("weight").alias("s"))
+    even = sums.groupBy("kind").agg((F.max(F.abs("s")) < 1e-6).alias("sums_to_zero"))
+    return table.groupBy("kind", "class").agg(F.count("*").alias("n")).join(even, "kind").select("kind", "class", "n", "sums_to_zero")
 
 
 @register("skill_rf", _TEST_SQL)
 def q_skill_rf(spark, sf):
-    return _predictions(spark, sf, "rf")
+    sp = _split_structured(spark, sf)
+    model = C.train_forest(sp.where("split = 'train'"), features_col="skill_vec")
+    return _known(model, model.transform(sp.where("split = 'test'")))
+
+
+@register("rf_predictions")
+def q_rf_predictions(spark, sf):
+    """Class probabilities of the forest for every test row (no SQL: random trees)."""
+    sp = _split_structured(spark, sf)
+    return C.train_forest(sp.where("split = 'train'"), features_col="skill_vec").predict_proba(sp.where("split = 'test'"))
 
 
 @register("predict_proba", f"""WITH {_SPLIT_SQL}
@@ -141,8 +192,7 @@ SELECT resume_id, (SELECT CAST(count(DISTINCT category) AS BIGINT) FROM sp WHERE
   CAST(1.0 AS DOUBLE) AS total, true AS best_is_prediction FROM sp WHERE is_test""")
 def q_predict_proba(spark, sf):
     """Per test row: how many classes, what their probabilities add up to, whether the likeliest is the prediction."""
-    sp = _split_structured(spark, sf)
-    model, test = _fit(sp, "hybrid"), sp.where("split = 'test'")
+    model, test = _fit_text(spark, sf, True)
     said = model.transform(test).select("resume_id", "prediction")
     per = (model.predict_proba(test).groupBy("resume_id")
            .agg(F.count("*").alias("n_classes"), r6(F.sum("probability")).alias("total"),
@@ -151,17 +201,18 @@ def q_predict_proba(spark, sf):
 
 
 @register("validate_models", """
-SELECT CAST(count(*) AS BIGINT) AS n, true AS baseline_at_least_majority, true AS proposed_at_least_majority FROM documents""")
+SELECT CAST(count(*) AS BIGINT) AS n, true AS baseline_above_majority, true AS proposed_above_majority FROM documents""")
 def q_validate_models(spark, sf):
     """Both text models applied to the second source (text with digits lost), against the commonest label's share."""
-    sp = _split_structured(spark, sf)
+    sp = _split_lists(spark, sf)
+    fit = lambda skills: T.train(sp.where("split = 'train'"), "category", "text", skills)
     second = sp.withColumn("text", F.regexp_replace("text", "[0-9]", ""))
-    got = C.validate_models(second, _fit(sp, "hybrid"), _fit(sp, "baseline"))
+    got = T.validate_models(second, fit("normalized_skills"), fit(None))
     share = (sp.groupBy("category").agg(F.count("*").alias("c"))
              .agg(F.sum("c").alias("n"), (F.max("c") / F.sum("c")).alias("share")))
-    at_least = lambda c: (F.col(c) >= F.col("share")) & (F.col(c) <= 1.0)
-    return share.crossJoin(got).select("n", at_least("baseline_accuracy").alias("baseline_at_least_majority"),  # one row each
-                                       at_least("proposed_accuracy").alias("proposed_at_least_majority"))
+    above = lambda c: (F.col(c) > F.col("share")) & (F.col(c) <= 1.0)
+    return share.crossJoin(got).select("n", above("baseline_accuracy").alias("baseline_above_majority"),  # one row each
+                                       above("proposed_accuracy").alias("proposed_above_majority"))
 
 
 # ---- clusters -------------------------------------------------------------------

@@ -92,8 +92,13 @@ def ship_package(spark: SparkSession) -> None:
     sc._cvlens_shipped = True
 
 
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A new folder for a table below the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/cvlens-tables/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, lineage cut."""
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/cvlens-tables/{name}-{uuid.uuid4().hex}"
+    path = scratch_table(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

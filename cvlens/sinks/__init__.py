@@ -49,13 +49,13 @@ def write_vocabulary(vocab: DataFrame, path: str) -> None:
 
 
 def save_classifier(model, path: str) -> None:
-    """K6: a fitted classifier as a Spark ML pipeline (replaces pickles)."""
+    """K6: a fitted forest as a Spark ML pipeline (text models save themselves as tables)."""
     from pyspark.ml import PipelineModel
     PipelineModel(list(model.stages) + [model.label_model]).write().overwrite().save(path)
 
 
-def load_classifier(path: str, text_col: str | None = "text"):
+def load_classifier(path: str):
     from pyspark.ml import PipelineModel
-    from cvlens.operators.classify import TextSkillClassifier
+    from cvlens.operators.classify import SkillForest
     pm = PipelineModel.load(path)
-    return TextSkillClassifier(pm.stages[:-1], pm.stages[-1], text_col)
+    return SkillForest(pm.stages[:-1], pm.stages[-1])

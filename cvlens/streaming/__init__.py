@@ -1,10 +1,10 @@
 """Incremental ingest of resume files with Structured Streaming.
 
 The reference has no streaming operators. New files dropped into
-``root/<CATEGORY>/<id>.txt`` go through the same row-local column steps as the
-batch path (decode, clean, sections, explicit and implicit skills), so no
-state is kept; the sink is an append-only parquet table with its checkpoint
-under the shared checkpoint folder (exactly-once, survives restarts).
+``root/<CATEGORY>/<id>.txt`` go through the same steps as the batch path (decode,
+clean, sections, explicit and implicit skills), a micro-batch at a time, so
+no state is kept; the sink is a parquet table with a folder a batch, which a
+repeated batch replaces (exactly-once, survives restarts).
 Normalisation and mining need the whole collection and run as batch jobs
 over that table.
 """
@@ -14,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cvlens.functions.sections import add_sections
-from cvlens.functions.text import clean_text, decode_text
-from cvlens.operators.skills import explicit_skills, implicit_skills
-from cvlens.sources.aliases import DEFAULT_ALIASES
+from cvlens.functions.text import decode_text
+from cvlens.operators.resumes import extract_skills
+from cvlens.sources.aliases import alias_frame
 
 _BINARY = "path string, modificationTime timestamp, length long, content binary"
 _PATH = r"([^/]+)/([^/]+)\.[^./]+$"
@@ -33,18 +32,21 @@ def read_resume_stream(spark: SparkSession, root: str, max_files_per_trigger: in
                       decode_text("content").alias("resume_str"))
 
 
-def structure(df: DataFrame, terms=None) -> DataFrame:
-    """Row-local steps shared with the batch path."""
-    terms = list(DEFAULT_ALIASES) + list(DEFAULT_ALIASES.values()) if terms is None else terms
-    c = df.withColumn("clean", clean_text("resume_str"))
-    s = add_sections(c, "clean", names=["skills", "experience", "education", "projects"])
-    return s.select("resume_id", "category", "skills", "experience", "education", "projects",
-                    explicit_skills("skills").alias("explicit_skills"),
-                    implicit_skills(F.concat_ws("\n", "experience", "projects"), terms).alias("implicit_skills"))
+def structure(df: DataFrame, terms: DataFrame | None = None) -> DataFrame:
+    """The batch path's steps on the rows of one micro-batch."""
+    aliases = alias_frame(df.sparkSession) if terms is None else terms
+    return extract_skills(df, aliases).select(
+        "resume_id", "category", *[F.col(f"sec_{n}").alias(n) for n in ("skills", "experience", "education", "projects")],
+        "explicit_skills", "implicit_skills")
 
 
-def start_ingest(spark: SparkSession, root: str, out_path: str, checkpoint: str, terms=None):
-    """Start the append-only ingest; returns the StreamingQuery."""
-    return (structure(read_resume_stream(spark, root), terms).writeStream
-            .format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
-            .outputMode("append").start())
+def start_ingest(spark: SparkSession, root: str, out_path: str, checkpoint: str, terms: DataFrame | None = None):
+    """Start the append-only ingest; returns the StreamingQuery. ``terms``: (alias, canonical), default the shipped ones.
+
+    A batch is written below ``out_path/batch=<number>`` and replaced as a whole if it is run again.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        structure(batch, terms).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch={number}")
+
+    return (read_resume_stream(spark, root).writeStream.foreachBatch(write)
+            .option("checkpointLocation", checkpoint).start())

@@ -266,11 +266,31 @@ def test_fuzzy_candidates_lose_no_pair(spark, cutoff):
         assert len(pairs) < 0.05 * len(skills) * len(names)
 
 
-def test_terms_with_symbols(spark):
-    from cvlens.operators.skills import implicit_skills
-    df = one_col(spark, ["uses .NET and c++, java. not javascripts", "asp.net c# c java8"])
-    out = df.select("i", implicit_skills("t", [".net", "c++", "c#", "c", "java", "JavaScript"]).alias("s"))
-    assert collect_col(out, "s") == [[".net", "c++", "java"], ["c#", "c"]]
+def brute_terms(text, terms):
+    """Leftmost, longest, no word character beside an occurrence, without overlap."""
+    text, at, out = text.lower(), 0, []
+    word = lambda c: c.isascii() and (c.isalnum() or c == "_")
+    free = lambda i: not (0 <= i < len(text)) or not word(text[i])
+    while at < len(text):
+        hit = max((t for t in terms if text.startswith(t, at) and free(at - 1) and free(at + len(t))), key=len, default=None)
+        if hit and hit not in out:
+            out.append(hit)
+        at += len(hit) if hit else 1
+    return out
+
+
+def test_terms_are_found_as_by_hand(spark):
+    from cvlens.operators.skills import dictionary_terms, find_terms
+    names = [".NET", "c++", "C#", "c", "java", " JavaScript ", "machine learning", "machine learning ops", "learning", "ci/cd", "a b c", "++", "é"]
+    rng = random.Random(12)
+    texts = ["uses .NET and c++, java. not javascripts", "asp.net c# c java8", "machine learning opsx machine learning ops learning", "a b c d a b", "", None,
+             "C++ ++ +++ c é été", "ci/cd/ci"]
+    texts += ["".join(rng.choice(["c", "+", "+", "#", " ", "java", "machine", "learning", " ops", "/", "a b ", ".net", "é", "\n"]) for _ in range(rng.randint(0, 30))) for _ in range(150)]
+    terms = dictionary_terms(spark.createDataFrame([(n, n.upper()) for n in names], "alias string, canonical string"))
+    got = {r["i"]: r["implicit_skills"] for r in find_terms(one_col(spark, texts), terms, "i", "t").collect()}
+    low = {n.strip().lower() for n in names}
+    assert {i: got.get(i, []) for i in range(len(texts))} == {i: brute_terms(t or "", low) for i, t in enumerate(texts)}
+    assert find_terms(one_col(spark, texts), terms.limit(0), "i", "t").collect() == []
 
 
 def test_tokens_keep_accents(spark):
