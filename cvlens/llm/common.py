@@ -37,6 +37,16 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs that are done.
+
+    Files go when the driver's garbage collector finds their plans unused, which
+    else may be long after a table was written and its lineage cut.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _CACHES: dict[str, Callable[[], None]] = {}
 
 

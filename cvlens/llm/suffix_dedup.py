@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cvlens.llm.chosen_path import _power_tables
-from cvlens.llm.common import byte_column, free_caches, mix64, text_or_empty, written
+from cvlens.llm.common import byte_column, free_caches, free_shuffles, mix64, text_or_empty, written
 from cvlens.llm.groups import spans, whole_groups
 
 WINDOW = 200
@@ -328,7 +328,9 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, as_text: boo
              .filter("c > 1").select("h", (F.col("u1") == F.col("u2")).alias("alike")))
     # stored, so that both sides of the join are plain shuffles and a frequent hash can be split
     twice = written(twice, "repeat-hashes")
+    free_shuffles(docs.sparkSession)
     found = written(rows.join(twice, "h"), "repeat-anchors")
+    free_shuffles(docs.sparkSession)
     whole = lambda df: df.select("rid", F.col("lo").cast("long").alias("a"), (F.col("lo") + F.col("n") + WINDOW).cast("long").alias("z"))
     mixed = found.filter("NOT alike").drop("alike")
     kinds = (mixed.groupBy("h", "u").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rid", "p", "lo", "n")).alias("one")))
