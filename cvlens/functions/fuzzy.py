@@ -1,45 +1,35 @@
 """Indel similarity (the ``ratio`` of fuzzy string matching).
 
 ratio(a, b) = 100 * (1 - (len a + len b - 2 * LCS(a, b)) / (len a + len b)),
-case-sensitive; 100 when both are empty. LCS length uses the bit-parallel
-recurrence of Allison-Dix/Hyyro: one big-integer step per character of ``a``,
-so the helper stays tiny and runs inside Arrow batches.
+case-sensitive; 100 when both are empty. The longest common subsequence is
+worked out row by row as a column expression, on the JVM; it is meant for the
+few pairs that the candidate join leaves.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
-
-
-def lcs_length(a: str, b: str) -> int:
-    if not a or not b:
-        return 0
-    masks: dict[str, int] = {}
-    for j, ch in enumerate(b):
-        masks[ch] = masks.get(ch, 0) | (1 << j)
-    full = (1 << len(b)) - 1
-    v = full
-    for ch in a:
-        u = v & masks.get(ch, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(b) - bin(v).count("1")
-
-
-def similarity(a: str, b: str) -> float:
-    """Normalised indel similarity in [0, 1]."""
-    total = len(a) + len(b)
-    if total == 0:
-        return 1.0
-    return 1.0 - (total - 2 * lcs_length(a, b)) / total
-
-
-@F.pandas_udf(DoubleType())
-def indel_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else similarity(x, y) for x, y in zip(a, b)],
-                     dtype="float64")
+
+
+def lcs_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence: one row of the table per character of ``a``."""
+    theirs = F.split(b, "")
+    places = F.sequence(F.lit(1), F.greatest(F.length(b), F.lit(1)))
+
+    def row(above: Column, ch: Column) -> Column:
+        return F.aggregate(places, F.array(F.lit(0)), lambda own, j: F.array_append(own, F.when(
+            F.get(theirs, j - 1) == ch, F.get(above, j - 1) + 1).otherwise(F.greatest(F.get(above, j), F.get(own, j - 1)))))
+
+    start = F.array_repeat(F.lit(0), F.greatest(F.length(b), F.lit(1)) + 1)
+    return F.when((F.length(a) == 0) | (F.length(b) == 0), F.lit(0)).otherwise(
+        F.array_max(F.aggregate(F.split(a, ""), start, row)))
+
+
+def indel_similarity(a: Column, b: Column) -> Column:
+    """Normalised indel similarity in [0, 1]; null if either is null."""
+    total = F.length(a) + F.length(b)
+    return F.when(total == 0, F.lit(1.0)).otherwise(F.lit(1.0) - (total - 2 * lcs_length(a, b)) / total)
 
 
 def admissible_lengths(length: Column, cutoff: float) -> Column:

@@ -33,17 +33,36 @@ def extract_skills(resumes: DataFrame, aliases: DataFrame, text_col: str = "resu
 
 
 def structure_resumes(resumes: DataFrame, aliases: DataFrame, cutoff: float = 85.0) -> DataFrame:
-    """Structured resumes (the nested document of ``sinks.STRUCTURED_RESUME``)."""
-    extracted = stored(extract_skills(resumes, aliases), "extracted")
-    done = normalize_skills(extracted, aliases, "skills", cutoff)
+    """Structured resumes (the nested document of ``sinks.STRUCTURED_RESUME``).
+
+    A reader's ``_error`` column goes along: a row with an error is not processed
+    and keeps its id, category, source and error, with the rest null. Rows
+    without text or id fail here (``no text``, ``no id``), so one bad row stops
+    no other. ``split_faults`` takes the two kinds apart.
+    """
+    given = "_error" in resumes.columns
+    here = F.when(F.col("resume_id").isNull(), F.lit("no id")).when(F.col("resume_str").isNull(), F.lit("no text"))
+    error = F.coalesce("_error", here) if given else here
     source = F.col("source") if "source" in resumes.columns else F.lit(None).cast("string")
+    rows = resumes.select("resume_id", "category", source.alias("source"), error.alias("_error"),
+                          F.when(error.isNull(), F.col("resume_str")).alias("resume_str"))
+    done = normalize_skills(extract_skills(rows, aliases), aliases, "skills", cutoff)
+    fine = F.col("_error").isNull()
     return done.select(
         "resume_id", F.col("category").alias("job_category"),
-        F.struct(*[F.col(f"sec_{n}").alias(n) for n in SECTION_NAMES], F.col("clean").alias("raw_text")).alias("sections"),
-        F.struct("explicit_skills", "implicit_skills").alias("skills"), "normalized_skills",
+        F.when(fine, F.struct(*[F.col(f"sec_{n}").alias(n) for n in SECTION_NAMES], F.col("clean").alias("raw_text"))).alias("sections"),
+        F.when(fine, F.struct("explicit_skills", "implicit_skills")).alias("skills"), F.when(fine, F.col("normalized_skills")).alias("normalized_skills"),
         F.lit(None).cast("struct<ats_score:double,semantic_score:double>").alias("scores"),
-        F.struct(source.alias("file_path"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("processed_date"),
-                 F.lit(None).cast("int").alias("processing_time_ms")).alias("metadata"))
+        F.struct(F.col("source").alias("file_path"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("processed_date"),
+                 F.lit(None).cast("int").alias("processing_time_ms")).alias("metadata"), "_error")
+
+
+def split_faults(structured: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(processed resumes, quarantine: resume_id, job_category, file_path, error), from one stored table."""
+    kept = stored(structured, "structured")
+    bad = kept.where(F.col("_error").isNotNull())
+    return (kept.where(F.col("_error").isNull()).drop("_error"),
+            bad.select("resume_id", "job_category", F.col("metadata.file_path").alias("file_path"), F.col("_error").alias("error")))
 
 
 def resume_features(structured: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -66,9 +85,11 @@ class ClusterReport:
 def cluster_resumes(structured: DataFrame, k: int = 10, top_n: int = 10, seed: int = 42, n_init: int = 10,
                     max_iter: int = 300) -> ClusterReport:
     """Cluster structured resumes by their skills."""
-    vectors, _ = resume_features(structured)
-    vectors = stored(vectors.select("resume_id", "job_category", "normalized_skills", "features"), "resume-vectors")
-    model = K.fit_kmeans(vectors, "features", k, n_init, seed, max_iter)
+    if "_error" in structured.columns:
+        structured = structured.where(F.col("_error").isNull())
+    vectors, vocab = resume_features(structured)
+    vectors = vectors.select("resume_id", "job_category", "normalized_skills", "features", "feature_idx")  # a stored table
+    model = K.fit_kmeans(vectors, "features", k, n_init, seed, max_iter, index_col="feature_idx", size=vocab.count())
     given = stored(model.transform(vectors), "resume-clusters")
     sizes = K.cluster_sizes(given)
     score = K.silhouette(given, "resume_id", "features", "cluster")

@@ -1,7 +1,7 @@
 """Resume-to-job scores.
 
-Pairs come from an equi-join on the job category (every resume is scored
-against the jobs of its own category): no resume x job cross product.
+Every resume is scored against the jobs of its own category that ask for a
+skill it has, found by an equi-join on the skill: no resume x job product.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cvlens.session import stored
 
 JOB_SCHEMA = ("job_title string, job_category string, required_skills array<string>, "
               "preferred_skills array<string>, experience_years int, education string, "
@@ -41,11 +42,27 @@ def cosine(a, b) -> Column:
 
 
 def match_jobs(resumes: DataFrame, jobs: DataFrame, skills_col: str = "normalized_skills",
-               category_col: str = "category") -> DataFrame:
-    """(resume_id, job_title, ats_score) for each resume and each job of its category."""
-    j = jobs.select("job_title", F.col("job_category").alias(category_col), "required_skills")
-    return (resumes.join(j, category_col)
-            .select("resume_id", "job_title", ats_score(skills_col, "required_skills").alias("ats_score")))
+               category_col: str = "category", zero_pairs: bool = False) -> DataFrame:
+    """(resume_id, job_title, ats_score) for each resume and each job of its category that asks for one of its skills.
+
+    An inverted index: the resumes' and the jobs' distinct lower-cased skills are
+    rows, joined on (skill, category); the score is the share of a job's skills
+    that were hit. Rows of equal ids or titles are scored apart. Pairs without
+    a hit score 0 and are only made on demand (``zero_pairs``): their number is
+    that of all pairs of a category.
+    """
+    low = lambda c: F.array_distinct(F.transform(F.filter(F.coalesce(_c(c), F.array().cast("array<string>")), lambda x: x.isNotNull()), F.lower))
+    ours = stored(resumes.select(F.monotonically_increasing_id().alias("_r"), "resume_id", F.col(category_col).alias("_c"), low(skills_col).alias("_s")), "match-resumes")
+    theirs = stored(jobs.select(F.monotonically_increasing_id().alias("_j"), "job_title", F.col("job_category").alias("_c"), low("required_skills").alias("_s")), "match-jobs")
+    hits = (ours.select("_r", "resume_id", "_c", F.explode("_s").alias("_skill"))
+            .join(theirs.select("_j", "job_title", "_c", F.size("_s").alias("_n"), F.explode("_s").alias("_skill")), ["_skill", "_c"])
+            .groupBy("_r", "_j").agg(F.first("resume_id").alias("resume_id"), F.first("job_title").alias("job_title"),
+                                     (F.count("*") / F.first("_n") * 100.0).alias("ats_score")))
+    if not zero_pairs:
+        return hits.select("resume_id", "job_title", "ats_score")
+    pairs = ours.select("_r", "resume_id", "_c").join(theirs.select("_j", "job_title", "_c"), "_c").select("_r", "_j", "resume_id", "job_title")
+    return (pairs.join(hits.select("_r", "_j", "ats_score"), ["_r", "_j"], "left")
+            .select("resume_id", "job_title", F.coalesce("ats_score", F.lit(0.0)).alias("ats_score")))
 
 
 def both_scores(pairs: DataFrame, embeddings: DataFrame, id_col: str = "resume_id") -> DataFrame:

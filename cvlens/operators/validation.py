@@ -101,7 +101,7 @@ def align_sources(a: DataFrame, b: DataFrame, key: str, a_order: str, b_order: s
 
 
 def unmatched_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """One row: keys in both, only in a, only in b (distinct keys); raises when none match."""
+    """One row: keys in both, only in a, only in b (distinct keys); ``require_overlap`` refuses none in both."""
     ka = a.select(key).distinct().withColumn("_a", F.lit(True))
     kb = b.select(key).distinct().withColumn("_b", F.lit(True))
     j = ka.join(kb, key, "full")

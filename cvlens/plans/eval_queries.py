@@ -361,6 +361,14 @@ ats AS (SELECT r.resume_id, j.job_title,
 @register("ats_score", f"""WITH {_ATS_SQL}
 SELECT resume_id, job_title, round(ats_score, 6) AS ats_score FROM ats""")
 def q_ats_score(spark, sf):
+    m = S.match_jobs(order_baskets(spark, sf, "p_name"), jobs_frame(spark), zero_pairs=True)
+    return m.select("resume_id", "job_title", r6("ats_score").alias("ats_score"))
+
+
+@register("job_hits", f"""WITH {_ATS_SQL}
+SELECT resume_id, job_title, round(ats_score, 6) AS ats_score FROM ats WHERE ats_score > 0""")
+def q_job_hits(spark, sf):
+    """The pairs that share a skill, straight from the inverted index."""
     m = S.match_jobs(order_baskets(spark, sf, "p_name"), jobs_frame(spark))
     return m.select("resume_id", "job_title", r6("ats_score").alias("ats_score"))
 
@@ -391,7 +399,7 @@ SELECT a.resume_id, a.job_title, round(a.ats_score, 6) AS ats_score,
   round(coalesce(s.semantic_score, 0.0), 6) AS semantic_score
 FROM ats a LEFT JOIN sem s ON a.resume_id = s.resume_id""")
 def q_both_scores(spark, sf):
-    m = S.match_jobs(order_baskets(spark, sf, "p_name"), jobs_frame(spark))
+    m = S.match_jobs(order_baskets(spark, sf, "p_name"), jobs_frame(spark), zero_pairs=True)
     b = S.both_scores(m, embedding_pairs(spark, sf))
     return b.select("resume_id", "job_title", r6("ats_score").alias("ats_score"),
                     r6("semantic_score").alias("semantic_score"))

@@ -4,24 +4,32 @@ session's shared checkpoint folder."""
 
 from __future__ import annotations
 
+import datetime
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cvlens import sinks
 from cvlens.functions.predicates import is_noise_skill, is_noise_skill_sql
-from cvlens.functions.text import decode_text
+from cvlens.functions.text import clean_text_sql, decode_text, strip_ws_sql
 from cvlens.operators import classify as C
-from cvlens.operators import textmodel as T
+from cvlens.operators import cluster as K
+from cvlens.operators import features as FE
 from cvlens.operators import metrics as M
+from cvlens.operators import mining as MI
+from cvlens.operators import resumes as R
 from cvlens.operators import scoring as S
+from cvlens.operators import textmodel as T
 from cvlens.operators import validation as V
 from cvlens.plans import eval_queries as E
 from cvlens.plans import mining_queries as MQ
 from cvlens.plans import model_queries as MO
 from cvlens.plans.registry import r6, register
+from cvlens.plans.skill_queries import _UNIQ_SQL, SKILLS_SQL
 from cvlens.session import stored
 from cvlens.sources import files as FS
-from cvlens.sources.aliases import load_alias_dictionary, part_aliases, part_aliases_sql
-from cvlens.sources.tables import documents, order_baskets, table
+from cvlens.sources.aliases import load_alias_lines, part_aliases, part_aliases_sql
+from cvlens.sources.tables import document_resumes, documents, order_baskets, table
 
 
 def _doc_rows(spark, sf):
@@ -44,24 +52,26 @@ def q_csv_roundtrip(spark, sf):
 
 
 @register("row_index", """SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS first, CAST(count(*) - 1 AS BIGINT) AS last,
-  CAST(count(*) AS BIGINT) AS different, true AS in_source, true AS in_file_order FROM documents""")
+  CAST(count(*) AS BIGINT) AS different, true AS in_source, true AS in_file_order, true AS many_files FROM documents""")
 def q_row_index(spark, sf):
-    """Rows of a CSV export are numbered in file order, gapless from 0, and named in their source."""
+    """Rows of an export of many CSV files are numbered in the files' order, gapless from 0, and named in their source."""
     path = FS.scratch_dir(spark, "csv-ordered")
-    FS.write_resume_csv(_doc_rows(spark, sf).repartitionByRange(1, "resume_id").sortWithinPartitions(F.col("resume_id").cast("long")), path)
+    number = F.col("resume_id").cast("long")
+    FS.write_resume_csv(_doc_rows(spark, sf).repartitionByRange(12, number).sortWithinPartitions(number), path)
     back = stored(FS.read_resume_csv(spark, path, with_row_index=True), "row-index")
     before = back.select((F.col("row_idx") + 1).alias("row_idx"), F.col("resume_id").cast("long").alias("_before"))
     ordered = back.join(before, "row_idx").agg(F.every(F.col("_before") < F.col("resume_id").cast("long")).alias("in_file_order"))
+    files = len(spark.read.text(path).inputFiles())
     facts = back.agg(F.count("*").alias("n"), F.min("row_idx").alias("first"), F.max("row_idx").alias("last"),
                      F.countDistinct("row_idx").alias("different"),
                      F.every(F.endswith("source", F.concat(F.lit(":row_"), F.col("row_idx").cast("string")))).alias("in_source"))
-    return facts.crossJoin(ordered)  # one row each
+    return facts.crossJoin(ordered).withColumn("many_files", F.lit(files >= 8))  # one row each
 
 
 @register("required_columns", """SELECT 'whole' AS export, true AS accepted, CAST(count(*) AS BIGINT) AS n FROM documents
-UNION ALL SELECT 'without_category', false, CAST(count(*) AS BIGINT) FROM documents""")
+UNION ALL SELECT 'without_category', false, CAST(0 AS BIGINT)""")
 def q_required_columns(spark, sf):
-    """An export without a required column is refused before any row is read."""
+    """An export without a required column is refused before any row is read; of the whole one its rows are read."""
     out = None
     for name, drop in (("whole", []), ("without_category", ["Category"])):
         path = FS.scratch_dir(spark, "columns")
@@ -69,11 +79,10 @@ def q_required_columns(spark, sf):
                                            F.col("resume_html").alias("Resume_html"), F.col("category").alias("Category")).drop(*drop)
         rows.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
         try:
-            FS.check_csv_columns(spark, path)
-            accepted = True
+            read, accepted = FS.read_resume_csv(spark, path), True
         except ValueError:
-            accepted = False
-        one = rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("export"), F.lit(accepted).alias("accepted"), "n")
+            read, accepted = rows.limit(0), False
+        one = read.agg(F.count("*").alias("n")).select(F.lit(name).alias("export"), F.lit(accepted).alias("accepted"), "n")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -114,6 +123,78 @@ def q_quarantine_counts(spark, sf):
     return FS.quarantine_counts(FS.quarantine(_loaded_files(spark, sf)))
 
 
+# The same files on disk, where Spark's scan leaves out those without bytes; every row of the result is one file.
+@register("archive_faults", f"""SELECT CAST(doc_id AS VARCHAR) AS resume_id, lang AS job_category, {_ERROR_SQL} AS error,
+  CASE WHEN {_ERROR_SQL} IS NULL THEN CAST(length({clean_text_sql('text')}) AS INTEGER) END AS n_clean,
+  true AS named, true AS dated FROM documents WHERE doc_id % 10 <> 2""")
+def q_archive_faults(spark, sf):
+    """Files of all kinds through reader, cleaning, sections, skills and normalisation: faults arrive as rows."""
+    root = FS.scratch_dir(spark, "faults")
+    files = _loaded_files(spark, sf)
+    FS.write_files(files.select(F.regexp_replace("path", "^store/", "").alias("name"), "content"), root)
+    began = F.lit(datetime.datetime.now(datetime.timezone.utc).isoformat()).cast("timestamp") - F.expr("INTERVAL 1 SECOND")
+    rows = R.structure_resumes(FS.read_archive(spark, root, "*", faults=True), part_aliases(spark, sf))
+    path, when = F.col("metadata.file_path"), F.to_timestamp("metadata.processed_date")
+    return stored(rows, "archive-faults").select(
+        "resume_id", "job_category", F.col("_error").alias("error"), F.length("sections.raw_text").alias("n_clean"),
+        F.contains(path, F.concat(F.lit("/"), "job_category", F.lit("/"), "resume_id", F.lit("."))).alias("named"),
+        when.between(began, F.current_timestamp()).alias("dated"))
+
+
+@register("fault_counts", f"""SELECT 'read' AS stage, CAST(count(*) FILTER (WHERE {_ERROR_SQL} IS NULL) AS BIGINT) AS processed,
+  CAST(count(*) FILTER (WHERE {_ERROR_SQL} IS NOT NULL) AS BIGINT) AS failed, CAST(count(*) AS BIGINT) AS total FROM documents
+UNION ALL SELECT 'structured', count(*) FILTER (WHERE {_ERROR_SQL} IS NULL), count(*) FILTER (WHERE {_ERROR_SQL} IS NOT NULL), count(*) FROM documents""")
+def q_fault_counts(spark, sf):
+    """What the reader passes on and what comes out at the end, good and quarantined."""
+    read = FS.quarantine(_loaded_files(spark, sf))
+    good, bad = R.split_faults(R.structure_resumes(read, part_aliases(spark, sf)))
+    ends = good.select(F.lit(None).cast("string").alias("_error")).unionByName(bad.select(F.col("error").alias("_error")))
+    return FS.quarantine_counts(read).withColumn("stage", F.lit("read")).unionByName(FS.quarantine_counts(ends).withColumn("stage", F.lit("structured")))
+
+
+# Documents as a CSV export of many files, read back and turned into the skill matrix.
+@register("csv_features", f"""WITH {SKILLS_SQL}, {_UNIQ_SQL},
+lg AS (SELECT resume_id, unnest(list_concat(explicit_skills, implicit_skills)) AS raw FROM k),
+nm AS (SELECT DISTINCT lg.resume_id, coalesce(m.normalized, '') AS skill FROM lg LEFT JOIN mapping m ON {strip_ws_sql('lg.raw')} = m.skill),
+vocab AS (SELECT skill, row_number() OVER (ORDER BY skill) - 1 AS idx FROM (SELECT DISTINCT skill FROM nm))
+SELECT k.resume_id, coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx), '') AS indices, CAST(count(idx) AS INTEGER) AS n_active,
+  true AS as_vector FROM k LEFT JOIN nm ON k.resume_id = nm.resume_id LEFT JOIN vocab USING (skill) GROUP BY k.resume_id""")
+def q_csv_features(spark, sf):
+    path = FS.scratch_dir(spark, "csv-features")
+    FS.write_resume_csv(document_resumes(spark, sf).repartition(8), path)
+    done = R.structure_resumes(FS.read_resume_csv(spark, path, with_row_index=True), part_aliases(spark, sf))
+    vectors, _ = R.resume_features(done.where("_error IS NULL"))
+    ones = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, x: a + x)
+    return vectors.select("resume_id", F.array_join(F.transform("feature_idx", lambda i: i.cast("string")), ",").alias("indices"),
+                          F.size("feature_idx").alias("n_active"), (ones == F.size("feature_idx")).alias("as_vector"))
+
+
+# What the steps refuse, each on the tables' own rows: nothing to mine, to cluster or to split, shares and counts out of range.
+@register("input_guards", """SELECT guard, true AS refused, (SELECT CAST(count(*) AS BIGINT) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)) AS n
+FROM (VALUES ('empty vocabulary'), ('nothing to mine'), ('support out of range'), ('one cluster'), ('more clusters than rows'),
+  ('no profile label'), ('test share'), ('no common ids')) v(guard)""")
+def q_input_guards(spark, sf):
+    baskets = stored(order_baskets(spark, sf, "p_type"), "guard-baskets")
+    none, ids = baskets.limit(0), baskets.select("resume_id")
+    n = baskets.count()
+    vectors = table(spark, sf, "embeddings").select(F.col("embedding").cast("array<double>").alias("v"))
+    guards = {"empty vocabulary": lambda: FE.vocabulary(none), "nothing to mine": lambda: MI.mine_associations(none),
+              "support out of range": lambda: MI.mine_associations(baskets, 1.5, 0.5), "one cluster": lambda: K.fit_kmeans(vectors, "v", k=1),
+              "more clusters than rows": lambda: K.fit_kmeans(vectors.limit(3), "v", k=4),
+              "no profile label": lambda: K.cluster_profiles(baskets, "normalized_skills", "category", top_n=0),
+              "test share": lambda: FE.split_train_test(ids, test_size=1.0),
+              "no common ids": lambda: V.require_overlap(V.unmatched_counts(ids, ids.select(F.concat(F.lit("x"), "resume_id").alias("resume_id")), "resume_id"))}
+    rows = []
+    for name, guard in guards.items():
+        try:
+            guard()
+            refused = False
+        except ValueError:
+            refused = True
+        rows.append((name, refused, n))
+    return spark.createDataFrame(rows, "guard string, refused boolean, n long")
+
+
 def _archive(spark, sf):
     root = FS.scratch_dir(spark, "archive")
     FS.write_archive(_doc_rows(spark, sf), root)
@@ -265,14 +346,16 @@ def q_text_model_roundtrip(spark, sf):
 
 @register("alias_file", f"""SELECT alias, min(canonical) AS canonical FROM {part_aliases_sql()} GROUP BY alias""")
 def q_alias_file(spark, sf):
-    """The dictionary as a JSON file with the nested key, and values that are no names beside it."""
+    """The dictionary as lines of JSON objects, some nested, with names that lose and values that are no names beside it."""
     own = part_aliases(spark, sf).groupBy("alias").agg(F.min("canonical").alias("canonical"))
-    entry = F.concat(F.to_json(F.array("alias")), F.lit("\u0001"), F.to_json(F.array("canonical")))
-    spelled = F.regexp_replace(F.regexp_replace(entry, "\u0001", ":"), r"^\[(.*)\]:\[(.*)\]$", "$1:$2")
-    body = own.agg(F.concat(F.lit('{"aliases":{"number":5,"nothing":null,'), F.array_join(F.collect_list(spelled), ","), F.lit("}}")).alias("value"))
+    one = F.to_json(F.create_map("alias", "canonical"))
+    nested = F.concat(F.lit('{"aliases":'), one, F.lit(',"aliasless":"no"}'))
+    loses = F.to_json(F.create_map(F.col("alias"), F.concat("canonical", F.lit("~"))))
+    lines = own.select(F.explode(F.array(F.when(F.length("alias") % 2 == 0, one).otherwise(nested), loses,
+                                         F.lit('{"number":5,"nothing":null}'))).alias("value"))
     path = FS.scratch_dir(spark, "aliases")
-    body.write.text(path)
-    return load_alias_dictionary(spark, path)
+    lines.write.text(path)
+    return load_alias_lines(spark, path)
 
 
 @register("job_match", f"""WITH {E._ATS_SQL}
@@ -281,7 +364,7 @@ def q_job_match(spark, sf):
     """Jobs read from their JSON documents, matched to the orders' baskets."""
     path = FS.scratch_dir(spark, "jobs")
     E.jobs_frame(spark).write.option("maxRecordsPerFile", 1).json(path)  # one document a file
-    m = S.match_jobs(order_baskets(spark, sf, "p_name"), sinks.read_jobs(spark, path))
+    m = S.match_jobs(order_baskets(spark, sf, "p_name"), sinks.read_jobs(spark, path), zero_pairs=True)
     return m.select("resume_id", "job_title", r6("ats_score").alias("ats_score"))
 
 

@@ -23,7 +23,7 @@ from cvlens.sources.tables import document_resumes, documents, order_baskets, or
 def structured(spark, sf):
     """Document resumes, structured, with the document's own text."""
     docs = documents(spark, sf).select(F.col("doc_id").cast("string").alias("resume_id"), "text")
-    return stored(R.structure_resumes(document_resumes(spark, sf), part_aliases(spark, sf)).join(docs, "resume_id"), "structured")
+    return stored(R.structure_resumes(document_resumes(spark, sf), part_aliases(spark, sf)).drop("_error").join(docs, "resume_id"), "structured")
 
 
 _NAME_BASKETS = f"SELECT * FROM {order_baskets_sql('p_name')}"
@@ -221,16 +221,34 @@ def _embeddings(spark, sf):
     return table(spark, sf, "embeddings")
 
 
-@register("kmeans_assign", """SELECT vec_id, true AS nearest_own_centre FROM embeddings""")
+def _kmeans(spark, sf):
+    """(fit, vec_id, cluster and the vector as v)."""
+    e = _embeddings(spark, sf).select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    model = K.fit_kmeans(e, "v", k=10, n_init=10, seed=42)
+    return model, stored(model.transform(e), "kmeans-assigned")
+
+
+@register("kmeans_assign", """SELECT vec_id, true AS nearest_own_centre, true AS cost_is_least, true AS cost_adds_up, true AS centres_are_means FROM embeddings""")
 def q_kmeans_assign(spark, sf):
-    """Whether each point is nearest to the centre of its own cluster."""
-    e = K.to_vectors(_embeddings(spark, sf), "embedding")
-    model = K.fit_kmeans(e, "features", k=10, n_init=10, seed=42)
-    given = model.transform(e).select("vec_id", "cluster", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])  # k x dim numbers
+    """Whether each point is nearest to the centre of its own cluster, whether the chosen start costs least of the
+    ten and what its points add up to, and whether its centres are the means of their members (nearly: rest is by tol)."""
+    model, given = _kmeans(spark, sf)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.centers])  # k x dim numbers
     far = given.withColumn("d", F.transform(centres, lambda c: F.aggregate(
         F.zip_with("v", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)))
-    return far.select("vec_id", (F.element_at("d", F.col("cluster") + 1) <= F.array_min("d") + 1e-9).alias("nearest_own_centre"))
+    own = F.element_at("d", F.col("cluster") + 1)
+    cost = far.agg(F.sum(own).alias("c")).first()["c"]
+    means = K.centroids_long(given, "v").withColumn("c", F.element_at(F.element_at(centres, F.col("cluster") + 1), F.col("dim") + 1))
+    apart = means.agg(F.max(F.abs(F.col("value") - F.col("c"))).alias("a")).first()["a"]
+    return far.select("vec_id", (own <= F.array_min("d") + 1e-9).alias("nearest_own_centre"),
+                      F.lit(len(model.costs) == 10 and model.cost <= min(model.costs)).alias("cost_is_least"),
+                      F.lit(abs(cost - model.cost) <= 1e-6 * model.cost).alias("cost_adds_up"), F.lit(apart < 0.05).alias("centres_are_means"))
+
+
+@register("kmeans_clusters")
+def q_kmeans_clusters(spark, sf):
+    """Each vector's cluster (no SQL: the best of ten drawn starts)."""
+    return _kmeans(spark, sf)[1].select("vec_id", "cluster")
 
 
 @register("cluster_report", """SELECT CAST(count(*) AS BIGINT) AS sample_count, CAST(5 AS BIGINT) AS requested_cluster_count,

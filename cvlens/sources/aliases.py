@@ -49,23 +49,50 @@ def alias_frame(spark: SparkSession, aliases: dict[str, str] | None = None) -> D
     return spark.createDataFrame(list(aliases.items()), ALIAS_SCHEMA)
 
 
+def _entries(values: DataFrame) -> DataFrame:
+    """(alias, canonical) of JSON objects in ``value``; the nested key wins, values that are no strings are dropped."""
+    whole = values.select(F.parse_json("value").alias("v"))
+    inner = whole.select(F.coalesce(F.try_variant_get("v", "$.aliases", "variant"), F.col("v")).alias("v"))
+    # a map of variants keeps each value's own type
+    entries = inner.select(F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("alias", "value"))
+    return (entries.where(F.schema_of_variant("value") == "STRING")
+            .select("alias", F.variant_get("value", "$", "string").alias("canonical")))
+
+
+def _is_missing(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def load_alias_dictionary(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
     """Read ``{"aliases": {...}}`` or a flat ``{...}`` JSON object.
 
     The nested key wins when present. Values that are no strings are dropped;
     malformed JSON is an error. A missing file is an error too, or an empty
-    dictionary with ``missing_ok`` (a processor without its file).
+    dictionary with ``missing_ok`` (a processor without its file). One document
+    is one row: a dictionary of many entries belongs in lines.
     """
-    if missing_ok:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-            return spark.createDataFrame([], ALIAS_SCHEMA)
-    whole = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
-    inner = whole.select(F.coalesce(F.try_variant_get("v", "$.aliases", "variant"), F.col("v")).alias("v"))
-    # a map of variants keeps each value's own type
-    entries = inner.select(F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("alias", "value"))
-    return (entries.where(F.schema_of_variant("value") == "STRING")
-            .select("alias", F.variant_get("value", "$", "string").alias("canonical")))
+    if missing_ok and _is_missing(spark, path):
+        return spark.createDataFrame([], ALIAS_SCHEMA)
+    return _entries(spark.read.text(path, wholetext=True))
+
+
+def load_alias_lines(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
+    """Read a dictionary of any size: files of lines, each a JSON object of either form.
+
+    Lines are merged by key; of the names of one key the smallest in code-point
+    order wins, whatever the order of lines and files. Blank lines are skipped,
+    malformed ones are an error.
+    """
+    if missing_ok and _is_missing(spark, path):
+        return spark.createDataFrame([], ALIAS_SCHEMA)
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return _entries(lines).groupBy("alias").agg(F.min("canonical").alias("canonical"))
+
+
+def write_alias_lines(aliases: DataFrame, path: str) -> None:
+    """(alias, canonical) as lines, one object each."""
+    aliases.select(F.to_json(F.create_map("alias", "canonical")).alias("value")).write.mode("overwrite").text(path)
 
 
 def part_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,12 +9,11 @@ from __future__ import annotations
 import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cvlens.functions.text import decode_text
-from cvlens.operators.features import add_row_index, position_offsets
-from cvlens.session import checkpoint_dir
+from cvlens.session import checkpoint_dir, stored
 
 # The CSV export's columns and the accepted file extensions.
 REQUIRED_COLUMNS = ["ID", "Resume_str", "Resume_html", "Category"]
@@ -33,12 +32,15 @@ def check_csv_columns(spark: SparkSession, path: str) -> list[str]:
     cols = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).columns
     missing = [c for c in REQUIRED_COLUMNS if c not in cols]
     if missing:
-        raise ValueError(f"CSV missing required columns: {missing}")
+        raise ValueError(f"the export at {path} lacks the columns {missing}")
     return cols
 
 
 def read_resume_csv(spark: SparkSession, path: str, with_row_index: bool = False) -> DataFrame:
-    """RFC-4180 CSV (quoted fields with line breaks); every column a string, null -> ''."""
+    """RFC-4180 CSV (quoted fields with line breaks), a file or a folder of them; every column a string, null -> ''.
+
+    ``with_row_index`` adds row_idx, the row's number in the whole export, and names it in the source.
+    """
     cols = check_csv_columns(spark, path)
     schema = ", ".join(f"`{c}` string" for c in cols)
     raw = (spark.read.schema(schema).option("header", True).option("multiLine", True)
@@ -48,14 +50,26 @@ def read_resume_csv(spark: SparkSession, path: str, with_row_index: bool = False
                     F.coalesce(F.col("Resume_str"), F.lit("")).alias("resume_str"),
                     F.lit(path).alias("source"))
     if with_row_index:
-        # rows are numbered in file order from their place in the scan; only counts are gathered
-        at = F.monotonically_increasing_id()
-        offsets = position_offsets(raw.select(at.alias("_at")))
-        df = add_row_index(df.withColumn("_at", at), offsets, "row_idx")
+        df = _numbered(df.withColumns({"_file": F.col("_metadata.file_path"), "_at": F.monotonically_increasing_id()}))
         df = df.withColumn("source", F.concat(F.lit("csv:"), F.col("source"), F.lit(":row_"), F.col("row_idx")))
     return df
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``row_idx``: from 0, in the order of the files' names and of the rows in each file.
+
+    One scan stores the rows with their file and place. A file is read by one
+    task from its start on, so its rows have successive places; its first place
+    and the rows of the files before it (a row a file) give the index.
+    """
+    kept = stored(rows, "csv-rows")
+    files = kept.groupBy("_file").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = files.select("_file", "_first", before.alias("_before"))
+    return (kept.join(starts, "_file").withColumn("row_idx", F.col("_before") + F.col("_at") - F.col("_first"))
+            .drop("_file", "_at", "_first", "_before"))
+
+
 def write_resume_csv(df: DataFrame, path: str) -> None:
     """Write (resume_id, category, resume_str[, resume_html]) in the export's layout."""
     html = F.col("resume_html") if "resume_html" in df.columns else F.lit("")
@@ -88,13 +102,16 @@ def list_archive(spark: SparkSession, root: str, pattern: str = "*.txt") -> Data
     return files.where(F.size(F.split("path", "/")) == _depth_of(spark, root) + 2)
 
 
-def read_archive(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFrame:
+def read_archive(spark: SparkSession, root: str, pattern: str = "*.txt", faults: bool = False) -> DataFrame:
     """One resume per file under ``root/<CATEGORY>/``; category = folder, id = file stem.
 
     Only one folder level is read; plain files in the root are skipped. PDF
     bytes are not decoded (text files only). Spark's scans leave out files of
-    no bytes, so those are no rows.
+    no bytes, so those are no rows. With ``faults`` every file of the pattern is
+    a row, and those that can't be processed say why in ``_error``.
     """
+    if faults:
+        return quarantine(list_archive(spark, root, pattern))
     return _files_to_resumes(list_archive(spark, root, pattern), category_from_path=True)
 
 
@@ -163,6 +180,12 @@ def write_archive(df: DataFrame, root: str, ext: str = ".txt") -> None:
     Runs on the executors against the shared folder, through the file system
     that the folder's URI names (file, HDFS, S3, ...).
     """
+    name = F.concat(F.col("category"), F.lit("/"), F.col("resume_id"), F.lit(ext))
+    write_files(df.select(name.alias("name"), F.encode(F.coalesce("resume_str", F.lit("")), "UTF-8").alias("content")), root)
+
+
+def write_files(df: DataFrame, root: str) -> None:
+    """Write each (name, content) row as the file ``root/<name>``."""
     base = re.sub(r"^file:/+", "file:///", root)
 
     def write_part(rows):
@@ -170,10 +193,11 @@ def write_archive(df: DataFrame, root: str, ext: str = ".txt") -> None:
         store, folder = fs.FileSystem.from_uri(base)
         made = set()
         for r in rows:
-            if r["category"] not in made:
-                store.create_dir(f"{folder}/{r['category']}", recursive=True)
-                made.add(r["category"])
-            with store.open_output_stream(f"{folder}/{r['category']}/{r['resume_id']}{ext}") as out:
-                out.write((r["resume_str"] or "").encode())
-
-    df.select("resume_id", "category", "resume_str").foreachPartition(write_part)
+            parent = r["name"].rpartition("/")[0]
+            if parent not in made:
+                store.create_dir(f"{folder}/{parent}", recursive=True)
+                made.add(parent)
+            with store.open_output_stream(f"{folder}/{r['name']}") as out:
+                out.write(bytes(r["content"] or b""))
+
+    df.select("name", "content").foreachPartition(write_part)

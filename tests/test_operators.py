@@ -7,7 +7,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from cvlens.functions.fuzzy import lcs_length, similarity
 from cvlens.functions.sections import add_sections
 from cvlens.functions.text import clean_text
 from cvlens.operators import cluster as K
@@ -87,18 +86,31 @@ def test_fuzzy_and_exact(spark):
                                                                           "JavaScript", ""]
 
 
-def test_indel_ratio():
-    assert math.isclose(similarity("Pythn", "Python") * 100, 90.9090909, rel_tol=1e-6)
-    assert math.isclose(similarity("python", "Python") * 100, 83.3333333, rel_tol=1e-6)
+def lcs_length(a, b):
+    m = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(b) + 1):
+            m[i][j] = m[i - 1][j - 1] + 1 if a[i - 1] == b[j - 1] else max(m[i - 1][j], m[i][j - 1])
+    return m[-1][-1]
+
+
+def similarity(a, b):
+    total = len(a) + len(b)
+    return 1.0 - (total - 2 * lcs_length(a, b)) / total if total else 1.0
+
+
+def test_indel_ratio(spark):
+    from cvlens.functions.fuzzy import indel_similarity
     rng = random.Random(3)
-    for _ in range(2000):
-        a = "".join(rng.choice("abc") for _ in range(rng.randint(0, 9)))
-        b = "".join(rng.choice("abc") for _ in range(rng.randint(0, 9)))
-        m = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-        for i in range(1, len(a) + 1):
-            for j in range(1, len(b) + 1):
-                m[i][j] = m[i - 1][j - 1] + 1 if a[i - 1] == b[j - 1] else max(m[i - 1][j], m[i][j - 1])
-        assert lcs_length(a, b) == m[-1][-1]
+    word = lambda: "".join(rng.choice("abcß😀") for _ in range(rng.randint(0, 9)))
+    pairs = [("Pythn", "Python"), ("python", "Python"), ("", ""), ("a", ""), ("x" * 80, "y" + "x" * 79)] + [(word(), word()) for _ in range(300)]
+    df = spark.createDataFrame([(*p, i) for i, p in enumerate(pairs)] + [(None, "a", -1)], "a string, b string, i int")
+    out = df.select("i", indel_similarity(F.col("a"), F.col("b")).alias("s"))
+    got = {r["i"]: r["s"] for r in out.collect()}
+    assert math.isclose(got[0] * 100, 90.9090909, rel_tol=1e-6) and math.isclose(got[1] * 100, 83.3333333, rel_tol=1e-6)
+    assert got.pop(-1) is None and all(math.isclose(got[i], similarity(*p)) for i, p in enumerate(pairs))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan.replace("Pythn", "") or "ArrowEvalPython" not in plan
 
 
 # ---- mining ----------------------------------------------------------------------
@@ -311,7 +323,7 @@ def test_split_is_exact_and_repeatable(spark):
 
 
 def test_guards(spark):
-    df = spark.createDataFrame([(0, "r", ["a"])], "cluster int, resume_id string, normalized_skills array<string>")
+    df = spark.createDataFrame([(0, "r", ["a"], [1.0])], "cluster int, resume_id string, normalized_skills array<string>, features array<double>")
     for bad in (lambda: K.cluster_profiles(df, top_n=0), lambda: K.fit_kmeans(df, k=1), lambda: K.fit_kmeans(df, k=2),
                 lambda: K.fit_kmeans(df.limit(0), k=2), lambda: vocabulary(df.limit(0)),
                 lambda: mining.mine_associations(df.limit(0)), lambda: mining.mine_associations(df, 1.5, 0.5),
@@ -320,6 +332,92 @@ def test_guards(spark):
             bad()
 
 
+def test_kmeans_starts_share_their_scans(spark):
+    rng = random.Random(2)
+    true = [(0, 0), (10, 0), (0, 10), (10, 10)]
+    pts = [(i, [c[0] + rng.gauss(0, 0.5), c[1] + rng.gauss(0, 0.5)]) for i, c in enumerate(true * 30)]
+    df = spark.createDataFrame(pts, "i int, v array<double>").repartition(3)
+    model = K.fit_kmeans(df, "v", k=4, n_init=5, seed=1)
+    got = {r["i"]: r["cluster"] for r in model.transform(df).collect()}
+    assert len(model.costs) == len(model.rounds) == 5 and model.cost == min(model.costs)
+    groups = {}
+    for i, _ in pts:
+        groups.setdefault(i % 4, set()).add(got[i])
+    assert all(len(g) == 1 for g in groups.values()) and len(set.union(*groups.values())) == 4
+    cost = 0.0
+    for c in range(4):
+        own = [v for i, v in pts if got[i] == c]
+        mean = [sum(x) / len(own) for x in zip(*own)]
+        assert all(math.isclose(a, b, abs_tol=1e-6) for a, b in zip(model.centers[c], mean))
+        cost += sum((x - m) ** 2 for v in own for x, m in zip(v, mean))
+    assert math.isclose(cost, model.cost, rel_tol=1e-9)
+    assert K.fit_kmeans(df.repartition(1).sortWithinPartitions("i"), "v", k=4, n_init=2).cost <= model.cost * 1.0001
+
+
+def test_kmeans_of_index_lists(spark):
+    """Lists of columns that are 1 give what the same points give as dense arrays; equal points leave centres empty."""
+    rng = random.Random(5)
+    rows = [(i, sorted(rng.sample(range(12), rng.randint(0, 4)))) for i in range(60)]
+    df = spark.createDataFrame([(i, x, [float(j in x) for j in range(12)]) for i, x in rows], "i int, x array<int>, v array<double>").coalesce(1)
+    a, b = K.fit_kmeans(df, k=3, n_init=3, index_col="x", size=12), K.fit_kmeans(df, "v", k=3, n_init=3)
+    assert all(math.isclose(x, y, rel_tol=1e-9) for x, y in zip(a.costs, b.costs))
+    assert [tuple(r) for r in a.transform(df).select("i", "cluster").collect()] == [tuple(r) for r in b.transform(df).select("i", "cluster").collect()]
+    same = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(5)], "i int, v array<double>")
+    model = K.fit_kmeans(same, "v", k=3, n_init=2)
+    assert model.cost == 0.0 and len({r["cluster"] for r in model.transform(same).collect()}) == 1
+
+
+def test_row_index_follows_the_files(spark, tmp_path):
+    from cvlens.sources.files import read_resume_csv
+    head, expected = "ID,Resume_str,Resume_html,Category\n", []
+    for f in range(9):  # of different sizes, so that scans take them in another order than their names'
+        own = [f"{f}-{i}" for i in range((f * 7) % 5)]
+        (tmp_path / f"part-{f}.csv").write_text(head + "".join(f'{x},"line\n{"y" * 50 * f}",,IT\n' for x in own))
+        expected += own
+    got = read_resume_csv(spark, str(tmp_path), with_row_index=True).orderBy("row_idx").collect()
+    assert [(r["row_idx"], r["resume_id"]) for r in got] == list(enumerate(expected))
+    assert all(r["source"].endswith(f":row_{i}") for i, r in enumerate(got))
+
+
+def test_faults_go_through_the_pipeline(spark):
+    from cvlens.operators import resumes as R
+    rows = [("a", "IT", "Skills: js", "f/a.txt", None), ("b", "IT", None, "f/b.pdf", "no decoder for .pdf"), ("c", "HR", None, "f/c.txt", None),
+            (None, "HR", "Skills: sql", "f/d.txt", None), ("e", "HR", "text beside an error", "f/e.txt", "binary content"), ("f", "HR", "", "f/f.txt", None)]
+    df = spark.createDataFrame(rows, "resume_id string, category string, resume_str string, source string, _error string")
+    good, bad = R.split_faults(R.structure_resumes(df, alias_frame(spark)))
+    assert {(r["resume_id"], tuple(r["normalized_skills"])) for r in good.collect()} == {("a", ("JavaScript",)), ("f", ())}
+    assert {(r["file_path"], r["error"]) for r in bad.collect()} == {
+        ("f/b.pdf", "no decoder for .pdf"), ("f/c.txt", "no text"), ("f/d.txt", "no id"), ("f/e.txt", "binary content")}
+    assert "_error" not in good.columns and good.where("sections.raw_text IS NULL").count() == 0
+
+
+def test_job_hits_and_zero_pairs(spark):
+    res = spark.createDataFrame([("r", "IT", ["Python", "sql", None]), ("r", "IT", ["Excel"]), ("q", "HR", ["python"]), ("n", "IT", None)],
+                                "resume_id string, category string, normalized_skills array<string>")
+    jobs = spark.createDataFrame([("dev", "IT", ["PYTHON", "python", "Go"]), ("dev", "IT", ["sql"]), ("empty", "IT", []), ("hr", "HR", ["Word"])],
+                                 "job_title string, job_category string, required_skills array<string>")
+    hits = sorted(tuple(r) for r in S.match_jobs(res, jobs).collect())
+    assert hits == [("r", "dev", 50.0), ("r", "dev", 100.0)]
+    both = sorted(tuple(r) for r in S.match_jobs(res, jobs, zero_pairs=True).collect())
+    assert len(both) == 3 * 3 + 1 and [p for p in both if p[2]] == hits
+
+
+def test_alias_lines(spark, tmp_path):
+    from cvlens.sources.aliases import load_alias_lines, write_alias_lines
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.json").write_text('{"ts": "TypeScript", "n": 5}\n\n{"aliases": {"go": "Golang"}, "other": "no"}\n')
+    (tmp_path / "d" / "2.json").write_text('{"go": "Go", "x": null}\n')
+    want = {("ts", "TypeScript"), ("go", "Go")}
+    got = load_alias_lines(spark, str(tmp_path / "d"))
+    assert {tuple(r) for r in got.collect()} == want
+    write_alias_lines(got, str(tmp_path / "again"))
+    assert {tuple(r) for r in load_alias_lines(spark, str(tmp_path / "again")).collect()} == want
+    assert load_alias_lines(spark, str(tmp_path / "none"), missing_ok=True).collect() == []
+    (tmp_path / "bad").write_text('{"ts": ')
+    with pytest.raises(Exception):
+        load_alias_lines(spark, str(tmp_path / "bad")).collect()
+
+
 def test_label_names_of_a_superset(spark):
     got = M.resolve_label_names(preds(spark, "AB", "AA"), ["B", "A", "Z"]).collect()
     assert {r["name"]: r["label"] for r in got} == {"A": "A", "B": "B"} or {r["name"] for r in got} == {"A", "B", "Z"}
