@@ -10,10 +10,11 @@ on an order of documents.
    have equal anchors at equal offsets, so only strings around an anchor that
    occurs twice can be repeated. An anchor and the run of strings it stands for
    are one row; a hash that occurs once ends here.
-2. Where all strings of an anchor's run occur again together (equal hash of
-   the whole context), the context is covered. One member of each such class,
-   and the anchors with a context of their own, go on where their hash has
-   more than one class; they fetch their contexts.
+2. Where all strings of an anchor's run occur again together (equal 64-bit
+   BLAKE2b digest of the whole context beside the equal 64-bit hash of the
+   anchor), the context is covered. One member of each such class, and the
+   anchors with a context of their own, go on where their hash has more than
+   one class; they fetch their contexts.
 3. The contexts of one anchor hash are sorted twice as suffixes: by the bytes
    after the anchor and by the bytes before it, backwards. The sort is a
    mergesort whose comparison finds the common extension of two suffixes by
@@ -23,7 +24,13 @@ on an order of documents.
    group is sorted by its bytes instead. The string ``o`` bytes before its
    anchor is repeated if another context agrees with it for ``o`` bytes
    backwards and ``window - o`` bytes onwards: equal runs in both orders.
-4. Covered spans go back to their documents.
+4. An anchor hash with more than ``LARGE`` contexts (a passage that many documents
+   share has them at its two ends) is not one group: each string of these
+   contexts is a row of two independent 64-bit hashes, told from differences of
+   prefix hashes, counted by pre-aggregation; contexts find theirs again by a
+   join. Equal strings of small and of large groups never mix, as a string
+   has one anchor.
+5. Covered spans go back to their documents.
 
 Null texts count as empty. Texts shorter than the window are kept whole.
 Repeated rows are documents of their own (and so remove each other). An empty
@@ -37,6 +44,9 @@ use one exchange), and only contexts that differ travel with their bytes.
 
 from __future__ import annotations
 
+from functools import lru_cache
+from hashlib import blake2b
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +59,8 @@ WINDOW = 200
 GRAM = 40
 CHUNK_BYTES = 1 << 20
 _PLACE_BITS = 24  # places in a chunk, packed below the hash
+# Groups of more contexts of their own than this are compared string by string.
+LARGE = 4096
 
 _ANCHORS = "h long, u long, rid long, p int, lo int, n int"
 
@@ -93,9 +105,9 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, window: int, gram: int):
     first = inside[edge]
     more = np.diff(np.append(edge, len(inside))) - 1
     p, d = p[edge], d[edge]
-    last = first + more + window
-    context = (sums[last] - sums[first]) * down[first]
-    u = mix64(context + ((p - first) * 1000 + more).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    whole = raw.tobytes()
+    u = np.frombuffer(b"".join([blake2b(whole[a:z], digest_size=8).digest() for a, z in zip(first.tolist(), (first + more + window).tolist())]), np.uint64)
+    u = mix64(u + ((p - first) * 1000 + more).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     base = offsets[:-1][d]
     return [grams[p].view(np.int64), u.view(np.int64), d, (p - base).astype(np.int32), (first - base).astype(np.int32), more.astype(np.int32)]
 
@@ -261,13 +273,49 @@ def _contexts(batches):
         flat = want.flatten()
         of = np.repeat(np.arange(b.num_rows), np.diff(want.offsets.to_numpy()))
         h, p, lo, n = (flat.field(k).to_numpy() for k in ("h", "p", "lo", "n"))
+        large = flat.field("large")
         rid = b.column(0).to_numpy()
         for a in range(0, len(h), 8192):
             z = min(a + 8192, len(h))
             start = offsets[:-1][of[a:z]] + lo[a:z]
             own = [raw[s:s + w + WINDOW].tobytes() for s, w in zip(start.tolist(), n[a:z].tolist())]
             yield pa.RecordBatch.from_arrays([pa.array(h[a:z]), pa.array(rid[of[a:z]]), pa.array(p[a:z]), pa.array(lo[a:z]),
-                                              pa.array(own, pa.binary())], ["h", "rid", "p", "lo", "context"])
+                                              large[a:z], pa.array(own, pa.binary())], ["h", "rid", "p", "lo", "large", "context"])
+
+
+@lru_cache(maxsize=1)
+def _byte_numbers() -> np.ndarray:
+    """A number for each byte, for a second hash that is independent of the first."""
+    return mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _strings(batches):
+    """Contexts -> one row per string: two hashes of it, and its offset before the anchor."""
+    import pyarrow as pa
+    for b in batches:
+        for at in range(0, b.num_rows, 2048):
+            t = b.slice(at, 2048)
+            raw, offsets = byte_column(t.column(4))
+            with np.errstate(over="ignore"):
+                sums, down = _prefix_sums(raw)
+                more = np.zeros_like(sums)
+                np.cumsum(_byte_numbers()[raw] * _power_tables(len(raw))[0][:len(raw)], out=more[1:])
+                n = np.diff(offsets) - WINDOW + 1
+                of = np.repeat(np.arange(len(n)), n)
+                within = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+                i = offsets[:-1][of] + within
+                s, v = (mix64((x[i + WINDOW] - x[i]) * down[i]) for x in (sums, more))
+            h, rid, p, lo = (t.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            yield pa.RecordBatch.from_arrays([pa.array(h[of]), pa.array(s.view(np.int64)), pa.array(v.view(np.int64)), pa.array(rid[of]), pa.array(p[of]),
+                                              pa.array((p[of] - lo[of] - within).astype(np.int32))], ["h", "s", "v", "rid", "p", "o"])
+
+
+def _large_spans(contexts: DataFrame) -> DataFrame:
+    """(rid, a, z) of what the strings of one large group's contexts cover that another context of it holds."""
+    rows = contexts.select("h", "rid", "p", "lo", "context").mapInArrow(_strings, "h long, s long, v long, rid long, p int, o int")
+    again = written(rows.groupBy("h", "s", "v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"), "repeat-strings")
+    return (rows.join(again, ["h", "s", "v"]).groupBy("rid", "p").agg(F.min("o").alias("least"), F.max("o").alias("most"))
+            .select("rid", (F.col("p") - F.col("most")).cast("long").alias("a"), (F.col("p") - F.col("least") + WINDOW).cast("long").alias("z")))
 
 
 def _sorted_spans(batches):
@@ -316,7 +364,7 @@ def _cut(b, kind):
          pa.array([r[3] for r in rows], kind)], ["rid", "doc_id", "rest", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame, carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: list[str] | None = None, as_text: bool = False, large: int = LARGE) -> DataFrame:
     """One row per document: rid (its place), doc_id, rest (the columns to ``carry``), n_bytes, n_removed,
     n_spans, kept (bytes, or with ``as_text`` a string of the characters that were not cut in two)."""
     rest = F.struct(*(F.col(f"`{c}`") for c in carry)) if carry else F.struct(F.lit(0).alias("none"))
@@ -333,12 +381,21 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, as_text: boo
     free_shuffles(docs.sparkSession)
     whole = lambda df: df.select("rid", F.col("lo").cast("long").alias("a"), (F.col("lo") + F.col("n") + WINDOW).cast("long").alias("z"))
     mixed = found.filter("NOT alike").drop("alike")
-    kinds = (mixed.groupBy("h", "u").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rid", "p", "lo", "n")).alias("one")))
+    kinds = written(mixed.groupBy("h", "u").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rid", "p", "lo", "n")).alias("one")), "repeat-kinds")
+    free_shuffles(docs.sparkSession)
     alike = mixed.join(kinds.filter("c > 1").select("h", "u"), ["h", "u"], "left_semi")
-    wanted = (kinds.select("h", "one.*").groupBy("rid").agg(F.collect_list(F.struct("h", "p", "lo", "n")).alias("wanted")))
+    crowded = written(kinds.groupBy("h").count().filter(F.col("count") > large).select("h", F.lit(True).alias("large")), "repeat-large")
+    some = not crowded.isEmpty()
+    flagged = kinds.select("h", "one.*").join(crowded, "h", "left")
+    wanted = flagged.groupBy("rid").agg(F.collect_list(F.struct("h", "p", "lo", "n", "large")).alias("wanted"))
     contexts = (texts.join(wanted, "rid").select("rid", "doc_id", "text", "rest", "wanted")
-                .mapInArrow(_contexts, "h long, rid long, p int, lo int, context binary"))
-    edges = contexts.repartition("h").sortWithinPartitions("h", "rid", "p").mapInArrow(_sorted_spans, "rid long, a long, z long")
+                .mapInArrow(_contexts, "h long, rid long, p int, lo int, large boolean, context binary"))
+    if some:
+        contexts = written(contexts, "repeat-contexts")
+    edges = (contexts.filter("large IS NULL").drop("large").repartition("h").sortWithinPartitions("h", "rid", "p")
+             .mapInArrow(_sorted_spans, "rid long, a long, z long"))
+    if some:
+        edges = edges.unionByName(_large_spans(contexts.filter("large")))
     covered = (whole(found.filter("alike")).unionByName(whole(alike)).unionByName(edges)
                .groupBy("rid").agg(F.collect_list(F.struct("a", "z")).alias("covered")))
     return (texts.join(covered, "rid", "left").select("rid", "doc_id", "text", "rest", "covered")

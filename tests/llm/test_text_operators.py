@@ -145,7 +145,8 @@ def brute_repeats(texts, window=200):
     return out
 
 
-def test_repeats_match_brute_force(spark):
+@pytest.mark.parametrize("large", [suffix_dedup.LARGE, 3, 0])
+def test_repeats_match_brute_force(spark, large):
     rng = random.Random(7)
     passage = prose(rng, 80)
     texts = [prose(rng, rng.randint(0, 150)) for _ in range(30)] + [None, "", "é" * 99, "é" * 150, "a" * 199, "a" * 200, "b" * 201]
@@ -154,7 +155,7 @@ def test_repeats_match_brute_force(spark):
     whole = texts[2] + passage + texts[3]
     texts += [whole[k:k + 260] for k in range(0, 300, 37)]
     rows = list(enumerate(texts)) + [(0, texts[5])]
-    got = suffix_dedup.remove_repeats(stored(spark, rows)).collect()
+    got = suffix_dedup.remove_repeats(stored(spark, rows), large=large).collect()
     expected = sorted((i, *x) for (i, _), x in zip(rows, brute_repeats([t for _, t in rows])))
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got) == expected
     assert suffix_dedup.remove_repeats(stored(spark, [])).collect() == []
