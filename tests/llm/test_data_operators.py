@@ -296,33 +296,54 @@ def test_chi_square_quantile():
     assert projection_search.chi_square_quantile(0.5, 2) == pytest.approx(1.386294, abs=1e-5)
 
 
-def test_neighbours_reach_the_recall(spark):
+@pytest.mark.parametrize("block_rows", [150, 400, 4000])
+def test_neighbours_reach_the_recall(spark, block_rows):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16))
     x = (centres[rng.integers(0, 12, 1500)] + 0.4 * rng.normal(size=(1500, 16))) * rng.uniform(0.5, 2, (1500, 1))
     rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(x)]
     rows[40] = (40, rows[20][1])
-    odd = [(2000, None), (2020, [0.0] * 16), (2040, [float("nan")] * 16), (2060, [None] * 16), (2080, [1.0] * 3), (2100, [float("inf")] * 16)]
-    vectors = stored(spark, rows + odd + [(60, rows[60][1])], "vec_id long, embedding array<float>")
-    got = projection_search.nearest(vectors, F.col("vec_id") % 20 == 0, k=10, block_rows=400, query_group=30).collect()
-    exact = np.array([r[1] for r in rows])
+    odd = [(2000, None), (2020, [0.0] * 16), (2040, [float("nan")] * 16), (2060, [None] * 16), (2080, [1.0] * 3), (2100, [float("inf")] * 16), (None, rows[0][1])]
+    # one query row twice, its id on another vector, and a neighbour twice
+    rows += [rows[60], (60, rows[7][1]), rows[61]]
+    vectors = stored(spark, rows + odd, "vec_id long, embedding array<float>")
+    got = projection_search.nearest(vectors, F.col("vec_id") % 20 == 0, k=10, block_rows=block_rows, query_group=30).collect()
+    exact, ids = np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
     found = {}
     for r in got:
         found.setdefault(r.query_id, []).append(r)
-        assert r.score == pytest.approx(float(exact[r.query_id] @ exact[r.vec_id]), rel=1e-12)
-    assert set(found) == set(range(0, 1500, 20))
+    assert set(found) == set(range(0, 1500, 20)) and len(found.pop(60)) == 30
     hits = 0
     for q, own in found.items():
         own.sort(key=lambda r: r.rank)
-        if q != 60:  # asked twice: its row is there twice
-            assert [r.rank for r in own] == list(range(1, 11))
-            assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
+        assert [r.rank for r in own] == list(range(1, 11))
+        assert [(-r.score, r.vec_id) for r in own] == sorted((-r.score, r.vec_id) for r in own)
         dots = exact @ exact[q]
+        for r in own:
+            assert any(r.score == pytest.approx(d, rel=1e-12) for d in dots[ids == r.vec_id])
         dots[q] = -np.inf
-        hits += len({r.vec_id for r in own} & set(np.lexsort((np.arange(1500), -dots))[:10].tolist()))
+        best = np.lexsort((ids, -dots))[:10]
+        hits += sum(min(sum(r.vec_id == i for r in own), int((ids[best] == i).sum())) for i in set(ids[best].tolist()))
     assert hits >= 0.95 * 10 * len(found)
 
 
+def test_rows_that_share_an_id_are_queries_and_candidates(spark):
+    """Certain enough, the search is exact: compared with brute force by place."""
+    rng = np.random.default_rng(5)
+    rows = [(int(i), [float(c) for c in v]) for i, v in zip(rng.integers(0, 30, 120), rng.normal(size=(120, 4)))]
+    rows += [rows[0]] * 40  # a group of copies, some of them queries
+    rows = [(0 if i % 5 == 0 else r[0], r[1]) for i, r in enumerate(rows)]
+    got = projection_search.nearest(stored(spark, rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 10 == 0, k=7,
+                                    block_rows=20, query_group=9, certainty=1 - 1e-9).collect()
+    x, ids = np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
+    expected = []
+    for q in np.flatnonzero(ids % 10 == 0):
+        dots = x @ x[q]
+        dots[q] = -np.inf
+        expected += [(int(ids[q]), rank, int(ids[i]), round(float(dots[i]), 9)) for rank, i in enumerate(np.lexsort((ids, -dots))[:7], 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in got) == sorted(expected)
+
+
 def test_neighbours_of_few(spark):
     schema = "vec_id long, embedding array<float>"
     assert projection_search.nearest(stored(spark, [], schema), F.col("vec_id") % 20 == 0).collect() == []
