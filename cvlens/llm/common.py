@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,20 @@ def free_caches(owner: str | None = None) -> None:
         gc.collect()
 
 
+def has_file_rows(df: DataFrame) -> bool:
+    """Whether rows come straight from Parquet files, so that they have a file and a number in it."""
+    try:
+        df.select("_metadata.file_path", "_metadata.row_index")
+        return True
+    except AnalysisException:
+        return False
+
+
+def scan_place(df: DataFrame) -> Column:
+    """A number for each row of files, the same in every scan: a hash of its file and its number in the file."""
+    return F.xxhash64("_metadata.file_path", "_metadata.row_index")
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

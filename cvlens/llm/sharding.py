@@ -6,18 +6,20 @@ the bucket's array) and writes it: record ``i`` of the shuffled corpus (its
 bucket's offset + its place there) goes to shard ``i mod n_shards``, slot
 ``i div n_shards``, so shard sizes differ by one record at most.
 
-The scatter hash takes the record's place in the scan beside its key, so
-repeated rows, or one id on a third of all rows, spread like any others. The
-draw is fixed by seed and layout of the input: records enter the bucket's
-array in scan order and buckets are sorted within their task, so a retried
-task draws the same permutation.
+The scatter hash takes the record's place beside its key, so repeated rows, or
+one id on a third of all rows, spread like any others. The place of a file's
+row is its file and its number in it, the same in every scan however it is
+split; a frame that is not read from files is stored first. The draw is fixed
+by seed and layout of the input: records are sorted by place before they are
+shuffled, so a retried task draws the same permutation.
 
 Null and empty texts are records of size 1 (their bytes plus 1). An empty
 table writes no rows. Columns named like the operator's own (``shard``,
 ``slot``) are replaced.
 
-Scale: the text is shuffled once; buckets hold about ``bucket_bytes``; one row
-per bucket (bucket, records) meets in the running sum of the offsets.
+Scale: the text is shuffled once; buckets hold about ``bucket_bytes`` and are
+tasks of their own; one row per bucket (bucket, records) meets in the running
+sum of the offsets.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cvlens.llm.common import scratch
+from cvlens.llm.common import has_file_rows, scratch, scan_place, written
 
 BUCKET_BYTES = 32 << 20
 # Bytes counted for a row beside its text.
@@ -37,23 +39,24 @@ def two_pass_shuffle(docs: DataFrame, path: str, n_shards: int = 16, seed: int =
     """Write ``docs`` to ``path`` as Parquet, partitioned by ``shard``, with ``slot`` in each shard's order."""
     if n_shards < 1 or bucket_bytes < 1:
         raise ValueError("n_shards and bucket_bytes are at least 1")
+    if not has_file_rows(docs):
+        docs = written(docs, "shard-input")
     keep = [c for c in docs.columns if c not in ("shard", "slot")]
     total = docs.select(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES)).first()[0] or 0
     n_buckets = max(1, -(-int(total) // bucket_bytes))
-    place = F.monotonically_increasing_id()
-    placed = (docs.select(place.alias("_place"), *keep)
-              .withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("_place")), F.lit(n_buckets))))
-    sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    in_scan_order = lambda a, b: F.when(a["_place"] < b["_place"], -1).when(a["_place"] > b["_place"], 1).otherwise(0)
-    buckets = (placed.repartition(n_buckets, "_bucket").groupBy("_bucket")
-               .agg(F.collect_list(F.struct("_place", *keep)).alias("_records"))
-               .join(offsets, "_bucket").sortWithinPartitions("_bucket")
-               .select("_offset", F.shuffle(F.array_sort("_records", in_scan_order), seed).alias("_records")))
-    rows = buckets.select("_offset", F.posexplode("_records").alias("_at", "_r"))
-    at = F.col("_offset") + F.col("_at")
-    (rows.select(*[F.col("_r")[c].alias(c) for c in keep], F.pmod(at, F.lit(n_shards)).cast("int").alias("shard"),
+    place = scan_place(docs)
+    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{key}`"), place), F.lit(n_buckets)).cast("int")
+    placed = docs.select(bucket.alias("bucket"), place.alias("place"), F.struct(*[F.col(f"`{c}`") for c in keep]).alias("r"))
+    sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    by_place = lambda a, b: F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0)
+    # a bucket a task: the bucket's number is the partition's
+    buckets = (placed.repartitionById(n_buckets, "bucket").groupBy("bucket").agg(F.collect_list(F.struct("place", "r")).alias("records"))
+               .join(offsets, "bucket").select("first", F.shuffle(F.array_sort("records", by_place), seed).alias("records")))
+    rows = buckets.select("first", F.posexplode("records").alias("at", "record"))
+    at = F.col("first") + F.col("at")
+    (rows.select(*[F.col("record.r")[c].alias(c) for c in keep], F.pmod(at, F.lit(n_shards)).cast("int").alias("shard"),
                  F.floor(at / n_shards).cast("long").alias("slot"))
      .sortWithinPartitions("shard", "slot").write.partitionBy("shard").option("compression", "zstd").parquet(path))
 

@@ -61,6 +61,8 @@ CHUNK_BYTES = 1 << 20
 _PLACE_BITS = 24  # places in a chunk, packed below the hash
 # Groups of more contexts of their own than this are compared string by string.
 LARGE = 4096
+# Classes of more anchors than this share of all, at most 1,000, are joined apart from the rest.
+HOT_SHARE = 1000
 
 _ANCHORS = "h long, u long, rid long, p int, lo int, n int"
 
@@ -383,7 +385,12 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None, as_text: boo
     mixed = found.filter("NOT alike").drop("alike")
     kinds = written(mixed.groupBy("h", "u").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rid", "p", "lo", "n")).alias("one")), "repeat-kinds")
     free_shuffles(docs.sparkSession)
-    alike = mixed.join(kinds.filter("c > 1").select("h", "u"), ["h", "u"], "left_semi")
+    # the few classes that more than a thousandth of the rows belong to find their rows where they are; the rest is joined
+    hot = F.col("c") * HOT_SHARE > (kinds.agg(F.sum("c")).first()[0] or 0)
+    shared = kinds.filter("c > 1")
+    told = mixed.join(F.broadcast(shared.filter(hot).select("h", "u", F.lit(True).alias("_hot"))), ["h", "u"], "left")
+    alike = told.filter("_hot").drop("_hot").unionByName(
+        told.filter("_hot IS NULL").drop("_hot").join(shared.filter(~hot).select("h", "u"), ["h", "u"], "left_semi"))
     crowded = written(kinds.groupBy("h").count().filter(F.col("count") > large).select("h", F.lit(True).alias("large")), "repeat-large")
     some = not crowded.isEmpty()
     flagged = kinds.select("h", "one.*").join(crowded, "h", "left")

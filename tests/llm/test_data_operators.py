@@ -262,10 +262,12 @@ def test_packing_nothing(spark):
 
 def test_shards_are_even_and_whole(spark):
     rows = rows_of(200) + [(7, "hot")] * 150
-    docs = stored(spark, [(i, t, "clash") for i, t in rows], SCHEMA + ", slot string")
+    docs = stored(spark, [(i, t, "clash", "b", "p") for i, t in rows], SCHEMA + ", slot string, bucket string, place string")
     path, again = scratch(spark, "shards"), scratch(spark, "shards")
     for p in (path, again):
         sharding.two_pass_shuffle(docs, p, n_shards=7, bucket_bytes=4096)
+    back = sharding.read_shards(spark, path, SCHEMA + ", bucket string, place string, slot long, shard int").collect()
+    assert {(r.bucket, r.place) for r in back} == {("b", "p")}
     read = lambda p: [tuple(r) for r in sharding.read_shards(spark, p, SCHEMA + ", slot long, shard int").collect()]
     got = read(path)
     assert sorted(map(repr, read(again))) == sorted(map(repr, got))  # the seed fixes the draw
@@ -280,6 +282,35 @@ def test_shards_are_even_and_whole(spark):
     assert [i for _, i in place] != sorted(i for _, i in place)
 
 
+def test_shards_draw_every_order_alike():
+    """The permutation of one bucket is uniform: each record is as often at each place (chi-square over many seeds)."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    n, runs = 6, 1200
+    drawn = spark.range(runs).select(F.shuffle(F.lit(list(range(n))).cast("array<int>"), 5).alias("a")).collect()
+    counts = np.zeros((n, n))
+    for r in drawn:
+        for place, x in enumerate(r.a):
+            counts[x, place] += 1
+    expected = runs / n
+    assert ((counts - expected) ** 2 / expected).sum() < 60  # 25 degrees of freedom: beyond 0.9999
+
+
+def test_shards_hold_when_scans_are_split_otherwise(spark, monkeypatch):
+    """Counts and records come from two scans; here the second is split otherwise."""
+    docs = stored(spark, rows_of(60), parts=2)
+    split, was = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    plain = sharding.scan_place
+    monkeypatch.setattr(sharding, "scan_place", lambda df: (spark.conf.set(split, "1k"), plain(df))[1])
+    try:
+        path = scratch(spark, "shards")
+        sharding.two_pass_shuffle(docs, path, n_shards=3, bucket_bytes=2048)
+        got = sharding.read_shards(spark, path, SCHEMA + ", slot long, shard int").collect()
+    finally:
+        spark.conf.set(split, was)
+    assert len(got) == len({(r.shard, r.slot) for r in got}) == docs.count()
+
+
 def test_shard_digests(spark):
     rows = rows_of(5)
     got = sharding.shard_digests(stored(spark, rows)).collect()
@@ -362,8 +393,8 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     extra = [clean[0], clean[0].upper() if clean[0].isascii() else clean[0], None, "", None, " ".join(base), " ".join(base[:-1] + ["end"]),
              *(prose(rng, 20) + " " + passage + " " + prose(rng, 20) for _ in range(6))]
     rows += [(1000 + i, t) for i, t in enumerate(extra)] + [(1005, extra[5])]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, rid string, kept boolean"
-    docs = [(i, t, "en", "s", len(t or ""), 0.5, "r", True) for i, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, rid string, kept boolean, place string, given int"
+    docs = [(i, t, "en", "s", len(t or ""), 0.5, "r", True, "p", 4) for i, t in rows]
     spark.createDataFrame(docs, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
 

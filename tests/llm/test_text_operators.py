@@ -280,7 +280,24 @@ def test_term_hits_against_patterns():
     for _ in range(2000):
         text = "".join(rng.choice("abcd-/.é") for _ in range(rng.randint(0, 12)))
         hits = lambda t: len(re.findall(rf"(?<![a-z0-9])(?={re.escape(t)}(?![a-z0-9]))", text))
-        assert url_filter.term_hits(text, strict, soft) == (sum(map(hits, strict)), sum(hits(t) > 0 for t in soft))
+        terms = tuple(url_filter.Term(t, t in strict, 1.0 + len(t)) for t in (*strict, *soft))
+        assert url_filter.term_hits(text, terms) == (sum(map(hits, strict)), sum((hits(t) > 0) * (1.0 + len(t)) for t in soft))
+
+
+def test_vocabulary_files(spark, tmp_path):
+    (tmp_path / "v.tsv").write_text("# comment\nsoft\t0.5\ten\tFoo\nsoft\t1.5\tde\tfoo\nstrict\t1\t*\tbar\n\nsoft\t1\tfr\tbaz\n")
+    terms = url_filter.load_vocabulary(spark, str(tmp_path / "v.tsv"))
+    assert [tuple(t) for t in terms] == [("bar", True, 1.0), ("baz", False, 1.0), ("foo", False, 1.5)]
+    pages = stored(spark, [(1, "x://h/foo"), (2, "x://h/foo-BAZ"), (3, "x://h/bar"), (4, "x://h/barn")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in url_filter.filter_urls(pages, terms=terms).collect()} == {1: "allow", 2: "block", 3: "block", 4: "allow"}
+    for bad in ("soft\t1\ten", "hard\t1\ten\tx", "soft\t0\ten\tx", "soft\tmuch\ten\tx", "soft\t1\ten\t "):
+        with pytest.raises(ValueError):
+            url_filter.parse_vocabulary([bad])
+    own = url_filter.own_vocabulary()
+    assert len(own) > 50 and all(t.term == t.term.lower() for t in own)
+    verdicts = {"x://h/gratis/gewinnspiel": "block", "x://h/apuestas?premio=1": "block", "x://h/rencontres-gratuit": "block", "x://h/gratis": "allow"}
+    pages = stored(spark, list(enumerate(verdicts)), "page_id long, url string")
+    assert {r.url: r.verdict for r in url_filter.filter_urls(pages).collect()} == verdicts
 
 
 def test_toxicity_decodes_each_kind_of_disguise():
