@@ -28,19 +28,23 @@ from cvlens.llm import chosen_path, exact_dedup, packing, suffix_dedup, toxicity
 from cvlens.llm.common import scratch, table, written
 from cvlens.session import ship_package
 
-# A row's place in a stage's input, stored with the row: another scan may be split otherwise.
-_PLACE = "__place"
-_GIVEN = "__given"  # whether a text is not null
+def _free_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    return written(docs.withColumn(_PLACE, F.monotonically_increasing_id()), "stage-places")
+def _placed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """(``docs`` stored with each row's place, the place's column): another scan may be split otherwise."""
+    place = _free_name(docs, "place")
+    return written(docs.withColumn(place, F.monotonically_increasing_id()), "stage-places"), place
 
 
-def _stay(placed: DataFrame, places: DataFrame) -> DataFrame:
+def _stay(placed: DataFrame, place: str, places: DataFrame) -> DataFrame:
     """The rows of ``placed`` whose place is in ``places`` (rid), without it."""
-    return (placed.join(places.select(F.col("rid").alias(_PLACE)), _PLACE, "left_semi")
-            .select(*(F.col(f"`{c}`") for c in placed.columns if c != _PLACE)))
+    return (placed.join(places.select(F.col("rid").alias(place)), place, "left_semi")
+            .select(*(F.col(f"`{c}`") for c in placed.columns if c != place)))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,26 +55,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    placed = _placed(docs)
-    return _stay(placed, exact_dedup.exact_groups(placed, keep="max", place=_PLACE).filter("kept"))
+    placed, place = _placed(docs)
+    return _stay(placed, place, exact_dedup.exact_groups(placed, keep="max", place=place).filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    placed = _placed(docs)
-    classes = chosen_path.near_duplicates(placed, place=_PLACE)
+    placed, place = _placed(docs)
+    classes = chosen_path.near_duplicates(placed, place=place)
     first = classes.groupBy("class_rid").agg(F.min(F.struct("doc_id", "rid")).alias("first"))
-    return _stay(placed, first.select("first.rid"))
+    return _stay(placed, place, first.select("first.rid"))
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
 
-    names = docs.columns
+    names, given = docs.columns, _free_name(docs, "given")
     # the text is stored once: of the column itself only whether it is null goes along
-    cut = suffix_dedup.remove_repeats(docs.withColumn(_GIVEN, F.col("text").isNotNull()),
-                                      [*(c for c in names if c != "text"), _GIVEN], as_text=True)
-    text = F.when(F.col(f"rest.{_GIVEN}"), F.col("kept"))
+    cut = suffix_dedup.remove_repeats(docs.withColumn(given, F.col("text").isNotNull()),
+                                      [*(c for c in names if c != "text"), given], as_text=True)
+    text = F.when(F.col(f"rest.{given}"), F.col("kept"))
     cut = cut.select(*(text.alias("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in names))
     if "n_chars" in names:
         cut = cut.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text"))
