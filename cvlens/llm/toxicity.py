@@ -273,16 +273,17 @@ class WordScorer:
         return top[0], top[1], math.log1p(sum(p >= 0.5 for p in shares))
 
 
-def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
-    """Weights (the last is the constant) by Newton's method."""
+def logistic_fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30, times: np.ndarray | None = None) -> np.ndarray:
+    """Weights (the last is the constant) by Newton's method; ``times``: how often each row counts."""
     x = np.column_stack([x, np.ones(len(x))])
+    times = np.ones(len(x)) if times is None else times
     w = np.zeros(x.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + penalty * w
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), grad)
+        grad = x.T @ (times * (p - y)) + penalty * w
+        step = np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + np.diag(penalty), grad)
         w -= step
         if np.abs(step).max() < 1e-8:
             break
@@ -369,8 +370,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, sm
             yield pa.RecordBatch.from_arrays([pa.array([float(r[i]) for r in rows], pa.float64()) for i in range(4)],
                                              ["x1", "x2", "x3", "y"])
 
-    rows = known.mapInArrow(seen, "x1 double, x2 double, x3 double, y double").toPandas().sort_values(["x1", "x2", "x3", "y"])
-    model.weights = logistic_fit(rows[["x1", "x2", "x3"]].to_numpy(), rows["y"].to_numpy())
+    # equal evidence is one row with its count: most rows have none, and copies, however many, have the same
+    names = ["x1", "x2", "x3", "y"]
+    rows = (known.mapInArrow(seen, ", ".join(f"{n} double" for n in names)).groupBy(*names).agg(F.count(F.lit(1)).alias("times"))
+            .toPandas().sort_values(names))
+    model.weights = logistic_fit(rows[names[:3]].to_numpy(), rows["y"].to_numpy(), times=rows["times"].to_numpy(float))
     return model
 
 

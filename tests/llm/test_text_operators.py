@@ -300,6 +300,49 @@ def test_vocabulary_files(spark, tmp_path):
     assert {r.url: r.verdict for r in url_filter.filter_urls(pages).collect()} == verdicts
 
 
+def test_equal_evidence_counts_as_often_as_it_is_there():
+    rng = np.random.default_rng(1)
+    x, y = np.repeat(rng.normal(size=(12, 3)), 30, axis=0), rng.integers(0, 2, 360)
+    rows, times = np.unique(np.column_stack([x, y]), axis=0, return_counts=True)
+    assert np.allclose(toxicity.logistic_fit(x, y), toxicity.logistic_fit(rows[:, :3], rows[:, 3], times=times.astype(float)))
+
+
+def test_readings_are_the_likeliest_of_all(monkeypatch):
+    """The list Viterbi against every way through the lattice, on short spans."""
+    rng = np.random.default_rng(3)
+    counts = rng.random((toxicity.N_CLASSES,) * 3) ** 6 + 1e-4
+    model = np.log(counts / counts.sum(2, keepdims=True)).astype(np.float32)
+
+    def ways(span):
+        paths = [(0.0, "", 0, 0)]
+        before = ""
+        for c in span:
+            if c.isalpha():
+                options = [*toxicity._AS_IS[c], *([("", 0, toxicity.REPEAT_COST)] if c == before else [])]
+            else:
+                options = toxicity._SYMBOLS.get(c, toxicity._NO_LETTER)
+            before = c
+            after = []
+            for p, text, a, b in paths:
+                for out, k, cost in options:
+                    if not out:
+                        after.append((p + cost, text, a, b))
+                    elif out != " " or b != 0:
+                        after.append((p + cost - float(model[a][b][k]), text + out, b, k))
+            paths = after
+        best = {}
+        for p, text, a, b in paths:
+            p -= float(model[a][b][0])
+            best[text] = min(p, best.get(text, np.inf))
+        return best
+    for span in ("id10t", "m0r0n", "a-b", "stt1", "b b", "x.y.z", "4ss", "ll00"):
+        best = ways(span)
+        got = toxicity.readings(span, model)
+        assert got and len(got) == len(set(got))
+        costs = [min(v for t, v in best.items() if t.strip() == g.strip()) for g in got]
+        assert costs[0] == pytest.approx(min(best.values()), abs=1e-3), span
+
+
 def test_toxicity_decodes_each_kind_of_disguise():
     words = ["moron", "idiot", "crass", "dumbass", "idiots", "stupid", "you", "are", "so"] * 40
     counts = np.full((toxicity.N_CLASSES,) * 3, 0.1)
