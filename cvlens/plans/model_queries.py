@@ -173,11 +173,16 @@ def q_model_shape(spark, sf):
     return table.groupBy("kind", "class").agg(F.count("*").alias("n")).join(even, "kind").select("kind", "class", "n", "sums_to_zero")
 
 
-@register("skill_rf", _TEST_SQL)
+@register("skill_rf", f"""WITH {_SPLIT_SQL}
+SELECT resume_id, category, true AS known_label, true AS above_majority FROM sp WHERE is_test""")
 def q_skill_rf(spark, sf):
+    """Test rows, whether the prediction is a training label, and whether the forest beats the commonest label on its training rows."""
     sp = _split_structured(spark, sf)
-    model = C.train_forest(sp.where("split = 'train'"), features_col="skill_vec")
-    return _known(model, model.transform(sp.where("split = 'test'")))
+    train = sp.where("split = 'train'")
+    model = C.train_forest(train, features_col="skill_vec")
+    right = model.transform(train).agg(F.count_if(F.col("prediction") == F.col("category"))).first()[0]
+    most = train.groupBy("category").count().agg(F.max("count")).first()[0]
+    return _known(model, model.transform(sp.where("split = 'test'"))).withColumn("above_majority", F.lit(right > most))
 
 
 @register("rf_predictions")
