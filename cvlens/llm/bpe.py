@@ -17,7 +17,12 @@ twice (for words and for positions) instead of being kept.
 
 Null texts count as empty; an empty text has no ids and decodes to nothing.
 Repeated rows and equal (or null) identifiers are separate documents. An empty
-table gives an empty result. Special tokens in a text are ordinary text.
+table gives an empty result. Special tokens in a text are ordinary text. A very
+long text is one document of a block, which then is as long as the text (its
+words are numbered like any others). Other columns are not read.
+
+The two readings of the input are tied by partition: they are scans of one job,
+planned together, and a retried task reads what the lost one read.
 """
 
 from __future__ import annotations

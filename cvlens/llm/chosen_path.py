@@ -24,10 +24,14 @@ Links are counted where they are found and leave a task as counts and as a
 forest of its members, so a group of copies costs rows in proportion to its
 members. Null texts, and texts without words, have no shingles: no links, a
 class of their own. Repeated rows (equal identifiers too) are separate
-documents of one class. An empty table gives an empty result.
-
-The input is read twice and must give the same rows in the same order, as a
-stored table does.
+documents of one class. An empty table gives an empty result. Very long texts
+are shingled in chunks. Other columns are not read.
+
+The rows are stored once with their places, unless the caller names a stored
+column that is their place; texts of families are read again from there. All
+pairs of a family are compared, so a chain of texts that are each plausible
+for the sketches, but less than the threshold similar, costs the square of its
+length.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ Null texts count as empty, and empty texts equal each other. Rows with a null
 identifier sort lowest and are kept only if no other row of the text has one.
 Repeated rows (same identifier, same text) are members like others and one of
 them stays: the first of the kept identifier in the order of the run. An empty
-table gives an empty result.
+table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations

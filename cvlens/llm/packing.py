@@ -18,7 +18,8 @@ left are opened again and packed together in a second round, so the loss at
 the groups' edges is not paid once a group.
 
 Null texts count as empty; an empty text is its end id. Repeated rows and equal
-identifiers are separate documents. An empty table packs into nothing.
+identifiers are separate documents. An empty table packs into nothing. Very
+long texts are cut into pieces like any others. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -24,6 +24,7 @@ Null texts count as empty; an empty text has the end id alone. Rows with a null
 identifier come first. Equal identifiers are separate documents. An empty table
 gives an empty manifest and no documents. Files are written through
 ``pyarrow.fs``, so the folder must be one that it can open (file, HDFS, S3, GCS).
+Other columns are not read.
 """
 
 from __future__ import annotations
