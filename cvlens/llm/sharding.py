@@ -18,8 +18,8 @@ table writes no rows. Columns named like the operator's own (``shard``,
 ``slot``) are replaced.
 
 Scale: the text is shuffled once; buckets hold about ``bucket_bytes`` and are
-tasks of their own; one row per bucket (bucket, records) meets in the running
-sum of the offsets.
+dealt to as many tasks by a hash, so a task may get a few; one row per bucket
+(bucket, records) meets in the running sum of the offsets.
 """
 
 from __future__ import annotations
@@ -51,8 +51,8 @@ def two_pass_shuffle(docs: DataFrame, path: str, n_shards: int = 16, seed: int =
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     by_place = lambda a, b: F.when(a["place"] < b["place"], -1).when(a["place"] > b["place"], 1).otherwise(0)
-    # a bucket a task: the bucket's number is the partition's
-    buckets = (placed.repartitionById(n_buckets, "bucket").groupBy("bucket").agg(F.collect_list(F.struct("place", "r")).alias("records"))
+    # the one exchange of the records: grouping and join go by the same hash of the bucket
+    buckets = (placed.repartition(n_buckets, "bucket").groupBy("bucket").agg(F.collect_list(F.struct("place", "r")).alias("records"))
                .join(offsets, "bucket").select("first", F.shuffle(F.array_sort("records", by_place), seed).alias("records")))
     rows = buckets.select("first", F.posexplode("records").alias("at", "record"))
     at = F.col("first") + F.col("at")
