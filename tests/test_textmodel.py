@@ -115,3 +115,23 @@ def test_skill_vectors_keep_rows_apart(spark):
     vocab = FE.vocabulary(spark.createDataFrame([(["x", "y", "z"],)], "normalized_skills array<string>"))
     got = sorted((r["resume_id"], r["feature_idx"], r["features"].toArray().tolist()) for r in FE.skill_vectors(df, vocab).collect())
     assert got == [("a", [], [0, 0, 0]), ("a", [0, 1], [1, 1, 0]), ("b", [2], [0, 0, 1])]
+
+
+@pytest.mark.parametrize("hybrid", [False, True])
+def test_the_driver_gets_nothing_that_grows_with_the_terms(spark, monkeypatch, hybrid):
+    from pyspark.sql.classic.dataframe import DataFrame
+    from cvlens.operators import regression
+    monkeypatch.setattr(regression, "LEAST", 1 << 8)
+    monkeypatch.setattr(regression, "COLUMNS", 1 << 8)
+    rng = random.Random(5)
+    data = [(f"r{i}", " ".join(f"{'ab'[i % 2]}{rng.randint(0, 4000)}" for _ in range(60)), "AB"[i % 2], [f"s{rng.randint(0, 900)}"]) for i in range(200)]
+    fetched, collect = [], DataFrame.collect
+
+    def counted(self):
+        got = collect(self)
+        fetched.append(sum(len(x) // 8 if isinstance(x, (bytes, bytearray)) else 1 for r in got for x in r))
+        return got
+    monkeypatch.setattr(DataFrame, "collect", counted)
+    model = T.train(spark.createDataFrame(data, SCHEMA), skills_col="skills" if hybrid else None)
+    assert model.n_terms > 4000 and model.gradient_size() <= 1.05e-4
+    assert max(fetched) < 2000
