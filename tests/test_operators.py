@@ -466,3 +466,29 @@ def test_csv_to_features(spark, tmp_path):
 
 def test_empty_report(spark):
     assert M.combined_report(spark).columns == []
+
+
+def test_quick_patterns_match_the_same(spark):
+    import random
+
+    from cvlens.functions import sections as SE
+    from cvlens.functions import text as TX
+    draw = random.Random(4)
+    bits = list("aZ9 .,;\n\t\r\x0b\x85\xa0 é_{~!") + ["　", " ", "technical skills", "SKILL", "Portfolio", "workexperience", " \n "]
+    df = spark.createDataFrame([("".join(draw.choice(bits) for _ in range(draw.randint(0, 50))),) for _ in range(600)], "t string")
+    for quick, plain in ((TX.NO_DISALLOWED_START + TX.DISALLOWED_RUN, TX.DISALLOWED_RUN), (TX.NO_EDGE_START + TX.LINE_EDGES, TX.LINE_EDGES)):
+        assert quick != plain and df.where(F.regexp_replace("t", quick, "#") != F.regexp_replace("t", plain, "#")).isEmpty()
+    for p in [p for ps in SE.DEFAULT_SECTION_PATTERNS.values() for p in ps] + [r"(?i)skills:", r"(?i)competencies:"]:
+        assert SE._quick(p) != p
+        assert df.where(F.to_json(F.split("t", SE._quick(p), -1)) != F.to_json(F.split("t", p, -1))).isEmpty()
+    assert [SE._quick(p) for p in (r"(?i)s?kill", r"(?i)(a|)", r"skills", r"(?i)\d+")] == [r"(?i)s?kill", r"(?i)(a|)", r"skills", r"(?i)\d+"]
+
+
+def test_spans_are_built_only_where_a_term_may_begin(spark, monkeypatch):
+    from cvlens.operators import skills as SK
+    texts = spark.createDataFrame([(1, "the sql server, rest-api and c++ (vue.js)"), (2, "nothing here"), (3, None), (4, "REST")], "row long, text string")
+    terms = SK.dictionary_terms(spark.createDataFrame([("sql", "SQL"), ("rest-api", "REST"), ("c++", "C++"), ("vue.js", "Vue.js")], "alias string, canonical string"))
+    expected = [(1, ["sql", "rest-api", "c++", "vue.js"]), (4, ["rest"])]
+    assert sorted((r[0], r[1]) for r in SK.find_terms(texts, terms, "row", "text").collect()) == expected
+    monkeypatch.setattr(SK, "FIRSTS", 1)  # a dictionary too large for the hash values: no position is left out
+    assert sorted((r[0], r[1]) for r in SK.find_terms(texts, terms, "row", "text").collect()) == expected
