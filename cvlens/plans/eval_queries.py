@@ -14,6 +14,7 @@ from cvlens.functions.text import WS_RUN, clean_text, clean_text_sql, split_word
 from cvlens.operators import metrics as M
 from cvlens.operators import scoring as S
 from cvlens.operators import validation as V
+from cvlens.operators.mining import _let as let
 from cvlens.plans.registry import r6, register
 from cvlens.sources.tables import documents, order_baskets, order_baskets_sql, table
 
@@ -31,13 +32,15 @@ DISPLAY_NAMES = ["German", "English", "Spanish", "French"]
 
 
 def vote(text, words=VOTE_WORDS):
+    """The language whose words are most in ``text``; the text is split once, however often its counts are compared."""
     toks = F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z]+", -1)
     def member_of(ws):
         return lambda w: w.isin(ws)
-    n = {l: F.size(F.filter(toks, member_of(words[l]))) for l in VOTE_LANGS}
-    en, fr, de, es = (n[l] for l in VOTE_LANGS)
-    return (F.when((en >= fr) & (en >= de) & (en >= es), "en")
-            .when((fr >= de) & (fr >= es), "fr").when(de >= es, "de").otherwise("es"))
+    def likeliest(n):
+        en, fr, de, es = (n[l] for l in VOTE_LANGS)
+        return (F.when((en >= fr) & (en >= de) & (en >= es), "en")
+                .when((fr >= de) & (fr >= es), "fr").when(de >= es, "de").otherwise("es"))
+    return let(toks, lambda t: let(F.struct(*[F.size(F.filter(t, member_of(words[l]))).alias(l) for l in VOTE_LANGS]), likeliest))
 
 
 def vote_sql(t, words=VOTE_WORDS):
