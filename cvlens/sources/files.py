@@ -1,11 +1,14 @@
 """Resume files: CSV export (S1, S2), category folders (S3-S6), bounded samples.
 
 All readers return (resume_id, category, resume_str, source) frames. Nothing
-is read on the driver; file listing and decoding run as Spark scans.
+is read on the driver. Folders of many small files on a mounted file system are
+listed and read by tasks through the operating system, as Spark's reader spends
+a millisecond and more on each file; other stores are left to that reader.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cvlens.functions.text import decode_text
-from cvlens.session import checkpoint_dir, stored
+from cvlens.session import checkpoint_dir, ship_package, stored
 
 # The CSV export's columns and the accepted file extensions.
 REQUIRED_COLUMNS = ["ID", "Resume_str", "Resume_html", "Category"]
@@ -88,15 +91,99 @@ def valid_extension(path_col) -> F.Column:
     return _extension(path_col).isin(RESUME_EXTENSIONS)
 
 
+def _qualified(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+
+
 def _depth_of(spark: SparkSession, root: str) -> int:
     """Path parts of ``root`` as the scan spells it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    return len(full.rstrip("/").split("/"))
+    return len(_qualified(spark, root).toString().rstrip("/").split("/"))
+
+
+def _mounted(spark: SparkSession, root: str) -> str | None:
+    """``root`` as Spark spells it (``file:/...``), if it is a folder of a mounted file system; else None."""
+    if re.search(r"[*?\[\]{}\\]", root):
+        return None
+    path = _qualified(spark, root)
+    uri = path.toUri()
+    return path.toString().rstrip("/") if uri.getScheme() == "file" and os.path.isdir(uri.getPath()) else None
+
+
+# Names that Spark's scans pass over.
+_HIDDEN = re.compile(r"\.|_(?!metadata|common_metadata)(?!.*=)|.*\._COPYING_$", re.DOTALL)
+# Files of a listed batch, and bytes of read contents handed over at once.
+_NAMES, _CONTENTS = 4096, 4 << 20
+
+
+def _list_folders(batches):
+    """Folders -> (path, modified, length) of the files right in them, as they come."""
+    import pyarrow as pa
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
+                                           pa.array([r[2] for r in rows], pa.int64())], ["path", "modified", "length"])
+    for b in batches:
+        for folder in b.column(0).to_pylist():
+            rows = []
+            with os.scandir(folder.removeprefix("file:")) as entries:
+                for e in entries:
+                    if e.is_file() and not _HIDDEN.match(e.name):
+                        about = e.stat()
+                        rows.append((f"{folder}/{e.name}", about.st_mtime_ns // 1_000_000, about.st_size))
+                    if len(rows) == _NAMES:
+                        yield batch(rows)
+                        rows = []
+            yield batch(rows)
+
+
+def _read_contents(batches):
+    """The listed files with their bytes."""
+    import pyarrow as pa
+    for b in batches:
+        own, size, first = [], 0, 0
+        for i, path in enumerate(b.column(0).to_pylist()):
+            with open(path.removeprefix("file:"), "rb", buffering=0) as f:
+                own.append(f.readall())
+            size += len(own[-1])
+            if size >= _CONTENTS or i == b.num_rows - 1:
+                part = b.slice(first, len(own))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(own, pa.binary())], ["path", "modified", "length", "content"])
+                own, size, first = [], 0, i + 1
+
+
+def _names(spark: SparkSession, folders: list[str], pattern: str) -> DataFrame:
+    """(path, modified, length) of the files of ``pattern`` right in mounted ``folders``; none without bytes."""
+    ship_package(spark)
+    listed = (spark.createDataFrame([(f,) for f in folders], "folder string")
+              .mapInArrow(_list_folders, "path string, modified long, length long"))
+    # Hadoop's own spelling of the glob as a regular expression
+    glob = spark._jvm.org.apache.hadoop.fs.GlobPattern.compile(pattern).pattern()
+    name = F.element_at(F.split("path", "/"), -1)
+    return listed.where((F.col("length") > 0) & F.rlike(name, F.lit(rf"(?s)\A(?:{glob})\z")))
+
+
+def _contents(names: DataFrame) -> DataFrame:
+    """Listed files as binaryFile columns; a task reads many."""
+    dealt = names.repartition(4 * names.sparkSession.sparkContext.defaultParallelism, "path")
+    read = dealt.mapInArrow(_read_contents, "path string, modified long, length long, content binary")
+    return read.select("path", F.timestamp_millis("modified").alias("modificationTime"), "length", "content")
+
+
+def _categories(spark: SparkSession, root: str) -> list[str] | None:
+    """The folders right below a mounted ``root``; None if there are none or ``root`` is no such folder."""
+    top = _mounted(spark, root)
+    if top is None:
+        return None
+    with os.scandir(top.removeprefix("file:")) as entries:
+        return [f"{top}/{e.name}" for e in entries if e.is_dir()] or None
 
 
 def list_archive(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFrame:
     """The archive's files (binaryFile columns): those exactly one folder below ``root``."""
+    folders = _categories(spark, root)
+    if folders:
+        return _contents(_names(spark, folders, pattern))
     files = (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
              .load(f"{root.rstrip('/')}/*/"))
     return files.where(F.size(F.split("path", "/")) == _depth_of(spark, root) + 2)
@@ -117,7 +204,11 @@ def read_archive(spark: SparkSession, root: str, pattern: str = "*.txt", faults:
 
 def read_flat(spark: SparkSession, directory: str, pattern: str = "*.txt") -> DataFrame:
     """Files directly in ``directory`` (not recursive); category UNKNOWN."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
+    folder = _mounted(spark, directory)
+    if folder:
+        files = _contents(_names(spark, [folder], pattern))
+    else:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
     return _files_to_resumes(files, category_from_path=False)
 
 
@@ -144,7 +235,9 @@ def sample_archive(spark: SparkSession, root: str, max_samples: int | None, patt
     """``read_archive`` of the first ``max_samples`` files by id: names are chosen first, only those files are read."""
     if not max_samples:
         return read_archive(spark, root, pattern)
-    names = list_archive(spark, root, pattern).select("path").where(valid_extension(F.col("path")))
+    folders = _categories(spark, root)
+    listed = _names(spark, folders, pattern) if folders else list_archive(spark, root, pattern)
+    names = listed.select("path").where(valid_extension(F.col("path")))
     first = bounded_sample(names.select("path", F.regexp_extract("path", _STEM, 2).alias("resume_id")), max_samples)
     paths = [r["path"] for r in first.select("path").collect()]  # at most max_samples
     if not paths:
@@ -188,16 +281,19 @@ def write_files(df: DataFrame, root: str) -> None:
     """Write each (name, content) row as the file ``root/<name>``."""
     base = re.sub(r"^file:/+", "file:///", root)
 
-    def write_part(rows):
+    def write_part(batches):
+        import pyarrow as pa
         from pyarrow import fs
         store, folder = fs.FileSystem.from_uri(base)
         made = set()
-        for r in rows:
-            parent = r["name"].rpartition("/")[0]
-            if parent not in made:
-                store.create_dir(f"{folder}/{parent}", recursive=True)
-                made.add(parent)
-            with store.open_output_stream(f"{folder}/{r['name']}") as out:
-                out.write(bytes(r["content"] or b""))
-
-    df.select("name", "content").foreachPartition(write_part)
+        for b in batches:
+            for name, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                parent = name.rpartition("/")[0]
+                if parent not in made:
+                    store.create_dir(f"{folder}/{parent}", recursive=True)
+                    made.add(parent)
+                with store.open_output_stream(f"{folder}/{name}") as out:
+                    out.write(content or b"")
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    df.select("name", "content").mapInArrow(write_part, "n long").write.format("noop").mode("overwrite").save()
