@@ -214,15 +214,18 @@ def plain_forms(token: str, model) -> list[str]:
 
 def spaced_out(tokens: list[str]) -> list[str]:
     """Runs of at least three single letters (or imitations) as spans."""
-    out, run = [], []
-    for t in [*tokens, ""]:
-        c = t if len(t) == 1 else t.strip(_EDGES) if len(t) == 2 else ""
-        if len(c) == 1 and (c.isalpha() or c in IMITATES):
+    out, run, last = [], [], -1
+    for i in [i for i, t in enumerate(tokens) if len(t) < 3] + [len(tokens) + 1]:
+        t = tokens[i] if i < len(tokens) else ""
+        c = t if len(t) == 1 else t.strip(_EDGES)
+        single = len(c) == 1 and (c.isalpha() or c in IMITATES)
+        if not single or i != last + 1:
+            if len(run) >= 3 and any(x.isalpha() for x in run):
+                out.append(" ".join(run))
+            run = []
+        if single:
             run.append(c)
-            continue
-        if len(run) >= 3 and any(x.isalpha() for x in run):
-            out.append(" ".join(run))
-        run = []
+            last = i
     return out
 
 
@@ -233,6 +236,75 @@ def word_features(w: str) -> list[str]:
     return ["=" + w, *("^" + w[:k] for k in (4, 5, 6) if len(w) >= k), *("$" + w[-k:] for k in (5, 6) if len(w) >= k)]
 
 
+def _squeezed(w: str) -> str:
+    return _RUNS.sub(r"\1", w)
+
+
+class Reach:
+    """Whether any reading of a span at all may have one of some features: a test that is never wrong when it denies.
+
+    A reading keeps the span's letters but for repetitions, so with repetitions
+    squeezed a word's beginning follows the span from its start or from behind a
+    symbol, its end leads to the span's end or to a symbol.
+    """
+
+    def __init__(self, features):
+        self.heads, self.tails = (self._paths(f) for f in (
+            {_squeezed(f[1:]) for f in features if f[0] != "$"}, {_squeezed(f[:0:-1]) for f in features if f[0] == "$"}))
+
+    @staticmethod
+    def _paths(words: set[str]) -> dict[str, bool]:
+        """Every beginning of a word, and whether it is a whole one."""
+        paths = {w[:k]: False for w in words for k in range(1, len(w))}
+        return paths | dict.fromkeys(words, True)
+
+    @staticmethod
+    def _meets(span: str, paths: dict[str, bool]) -> bool:
+        if span.isalpha():  # one way
+            squeezed = _squeezed(span)
+            for k in range(1, len(squeezed) + 1):
+                whole = paths.get(squeezed[:k])
+                if not whole:
+                    if whole is None:
+                        return False
+                    continue
+                return True
+            return False
+        states, fresh = set(), True  # fresh: a word may begin here
+        for c in span:
+            if c.isalpha():
+                if not states and not fresh:
+                    continue
+                after = set()
+                for s in ({*states, ""} if fresh else states):
+                    if s and s[-1] == c:
+                        after.add(s)
+                        continue
+                    s += c
+                    whole = paths.get(s)
+                    if whole:
+                        return True
+                    if whole is not None:
+                        after.add(s)
+                states, fresh = after, False
+                continue
+            if c in IMITATES:
+                begun = {*states, ""} if fresh else states
+                for x in IMITATES[c]:
+                    for s in begun:
+                        if not s or s[-1] != x:
+                            whole = paths.get(s + x)
+                            if whole:
+                                return True
+                            if whole is not None:
+                                states = states | {s + x}
+            fresh = True
+        return False
+
+    def __call__(self, span: str) -> bool:
+        return self._meets(span, self.heads) or self._meets(span[::-1], self.tails)
+
+
 class WordScorer:
     """Documents -> evidence; keeps what it knows of a token while its worker lives."""
 
@@ -241,7 +313,11 @@ class WordScorer:
     def __init__(self, model: np.ndarray, toxic: dict[str, tuple[int, int]], base: float, smooth: float):
         self.model, self.toxic, self.base, self.smooth = model, toxic, base, smooth
         self.costs = model.tolist()
-        self.known: dict[str, tuple] = {}
+        self.reach = Reach(toxic)
+        self.starts = {f[1:5] for f in toxic if f[0] != "$"}  # of whole words and beginnings
+        self.ends = {f[-5:] for f in toxic if f[0] == "$"}
+        self.known: dict[str, tuple] = {}  # tokens with features
+        self.clean: set[str] = set()  # tokens without
 
     def share(self, a: float, b: float) -> float:
         return (a + self.smooth * self.base) / (a + b + self.smooth)
@@ -250,20 +326,31 @@ class WordScorer:
         """The token's toxic-leaning features with their counts."""
         return tuple(dict.fromkeys(f for w in forms for f in word_features(w) if f in self.toxic))
 
+    def token(self, t: str) -> tuple:
+        """The features of a blank-separated token; it is read only if some reading may have one."""
+        t = t.strip(_EDGES)
+        if t.isalpha() and not _REPEATED.search(t):
+            return self._look([t]) if t[:4] in self.starts or t[-5:] in self.ends else ()
+        return self._look(plain_forms(t, self.costs)) if self.reach(t) else ()
+
     def evidence(self, text: str, own: int | None = None) -> tuple[float, float, float]:
         """own: the document's label, whose counts are taken out."""
         low = (text or "").lower().split()
-        if len(self.known) > self.MOST:
+        if len(self.known) + len(self.clean) > self.MOST:
             self.known.clear()
+            self.clean.clear()
         best: dict[tuple, float] = {}
-        for t in set(low):
+        for t in set(low) - self.clean:
             found = self.known.get(t)
             if found is None:
-                found = self.known[t] = self._look(plain_forms(t, self.costs))
-            if found:
-                best[found] = 0.0
+                found = self.token(t)
+                if not found:
+                    self.clean.add(t)
+                    continue
+                self.known[t] = found
+            best[found] = 0.0
         for span in spaced_out(low):
-            found = self._look([w for r in readings(span, self.costs) for w in r.split()])
+            found = self.reach(span) and self._look([w for r in readings(span, self.costs) for w in r.split()])
             if found:
                 best[found] = 0.0
         a_own, b_own = (0, 0) if own is None else (own, 1 - own)
