@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cvlens.llm import chosen_path, exact_dedup, packing, suffix_dedup, toxicity
-from cvlens.llm.common import scratch, table, written
+from cvlens.llm.common import numbered_scan, scratch, table, written
 from cvlens.session import ship_package
 
 def _free_name(docs: DataFrame, name: str) -> str:
@@ -36,9 +36,13 @@ def _free_name(docs: DataFrame, name: str) -> str:
 
 
 def _placed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """(``docs`` stored with each row's place, the place's column): another scan may be split otherwise."""
+    """(``docs`` with each row's place, the place's column).
+
+    A stored table's rows are told by their files; any other frame is stored first, as another scan may be split otherwise.
+    """
     place = _free_name(docs, "place")
-    return written(docs.withColumn(place, F.monotonically_increasing_id()), "stage-places"), place
+    scan = numbered_scan(docs, place)
+    return (written(docs.withColumn(place, F.monotonically_increasing_id()), "stage-places") if scan is None else scan), place
 
 
 def _stay(placed: DataFrame, place: str, places: DataFrame) -> DataFrame:
@@ -71,9 +75,10 @@ def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     ship_package(spark)
 
     names, given = docs.columns, _free_name(docs, "given")
-    # the text is stored once: of the column itself only whether it is null goes along
-    cut = suffix_dedup.remove_repeats(docs.withColumn(given, F.col("text").isNotNull()),
-                                      [*(c for c in names if c != "text"), given], as_text=True)
+    placed, place = _placed(docs)
+    # the text goes along once: of the column itself only whether it is null
+    cut = suffix_dedup.remove_repeats(placed.withColumn(given, F.col("text").isNotNull()),
+                                      [*(c for c in names if c != "text"), given], as_text=True, place=place)
     text = F.when(F.col(f"rest.{given}"), F.col("kept"))
     cut = cut.select(*(text.alias("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in names))
     if "n_chars" in names:

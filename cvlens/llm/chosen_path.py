@@ -27,8 +27,8 @@ class of their own. Repeated rows (equal identifiers too) are separate
 documents of one class. An empty table gives an empty result. Very long texts
 are shingled in chunks. Other columns are not read.
 
-The rows are stored once with their places, unless the caller names a stored
-column that is their place; texts of families are read again from there. All
+The rows are stored once with their places, unless the caller names a
+column that is their place in every scan; texts of families are read again from there. All
 pairs of a family are compared, so a chain of texts that are each plausible
 for the sketches, but less than the threshold similar, costs the square of its
 length.
@@ -337,7 +337,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     """One row per document: doc_id, class_id (least doc_id of its class), n_links, rid (its place), class_rid
     (the same number for all of a class).
 
-    ``place``: a stored column of distinct numbers that is the place; without it the rows are stored with one.
+    ``place``: a column of distinct numbers that is the place, the same in every scan; without it the rows are stored with one.
     """
     if not 0 < threshold <= 1 or not 0 < recall < 1 or not 1 <= depth <= 3:
         raise ValueError("threshold in (0, 1], recall in (0, 1), depth 1 to 3")

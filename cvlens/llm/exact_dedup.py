@@ -116,8 +116,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  ranges: int | None = None, place: str | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, rid (the row's place in the input).
 
-    ``keep``: "min" or "max", the identifier that stays of equal texts. ``place``: a stored column of distinct
-    numbers that is the place; without it rid is only good for telling rows of the result apart.
+    ``keep``: "min" or "max", the identifier that stays of equal texts. ``place``: a column of distinct
+    numbers that is the place, the same in every scan; without it rid is only good for telling rows of the result apart.
     """
     if keep not in ("min", "max"):
         raise ValueError("keep is min or max")

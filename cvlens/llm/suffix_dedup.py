@@ -366,12 +366,19 @@ def _cut(b, kind):
          pa.array([r[3] for r in rows], kind)], ["rid", "doc_id", "rest", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def remove_repeats(docs: DataFrame, carry: list[str] | None = None, as_text: bool = False, large: int = LARGE) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: list[str] | None = None, as_text: bool = False, large: int = LARGE,
+                   place: str | None = None) -> DataFrame:
     """One row per document: rid (its place), doc_id, rest (the columns to ``carry``), n_bytes, n_removed,
-    n_spans, kept (bytes, or with ``as_text`` a string of the characters that were not cut in two)."""
+    n_spans, kept (bytes, or with ``as_text`` a string of the characters that were not cut in two).
+
+    ``place``: a column of distinct numbers that is the place, the same in every scan; without it the rows are stored with one.
+    """
     rest = F.struct(*(F.col(f"`{c}`") for c in carry)) if carry else F.struct(F.lit(0).alias("none"))
-    texts = written(docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
-                                text_or_empty().cast("string").cast("binary").alias("text"), rest.alias("rest")), "repeat-texts")
+    rid = F.col(f"`{place}`") if place else F.monotonically_increasing_id()
+    texts = docs.select(rid.alias("rid"), F.col("doc_id").cast("long").alias("doc_id"),
+                        text_or_empty().cast("string").cast("binary").alias("text"), rest.alias("rest"))
+    if not place:
+        texts = written(texts, "repeat-texts")
     rest_type = texts.schema["rest"].dataType.simpleString()
     rows = texts.select("rid", "doc_id", "text").mapInArrow(_anchor_rows(WINDOW, GRAM), _ANCHORS)
     twice = (rows.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("u").alias("u1"), F.max("u").alias("u2"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import zlib
 
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cvlens.llm import bpe, packing, projection_search, sharding, token_files, word_tokens
-from cvlens.llm.common import scratch
-from cvlens.session import ship_package
+from cvlens.llm.common import numbered_scan, scratch
+from cvlens.session import checkpoint_dir, ship_package
 from test_text_operators import SCHEMA, brute_links, brute_repeats, prose, stored, toxic_rows
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -433,6 +434,49 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(out["packing"][1])
 
 
+def test_stages_store_no_copy_of_a_stored_table(spark, tmp_path):
+    rng = random.Random(4)
+    passage, base = prose(rng, 90), prose(rng, 120).split()
+    texts = [*(prose(rng, 30) + passage + prose(rng, 30) for _ in range(5)), " ".join(base), " ".join(base[:-1] + ["end"]), "a", "A", None]
+    docs = spark.createDataFrame([(i % 9, t, "en", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, n_chars int")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    shared, table = checkpoint_dir(spark).removeprefix("file:"), spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for stage in (corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies, corpus_pipeline.cut_passages):
+        before = set(os.listdir(shared))
+        got = sorted(map(str, stage(spark, table, str(tmp_path)).collect()))
+        stored_tables = {x for x in set(os.listdir(shared)) - before if "text" in spark.read.parquet(f"{shared}/{x}").columns}
+        assert not stored_tables
+        assert got == sorted(map(str, stage(spark, table.filter("doc_id >= 0"), str(tmp_path)).collect()))  # no plain scan: stored
+
+
+def test_rows_of_a_scan_have_the_same_number_in_every_scan(spark, tmp_path):
+    path = f"{tmp_path}/a b.parquet"
+    rows = spark.range(3000).selectExpr("id", "id % 7 AS path", "id AS row", "1.5 AS `x.y`")
+    rows.repartition(3).write.option("parquet.block.size", 2048).parquet(path)
+    found = []
+    for split in (1 << 27, 4096):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            scan = numbered_scan(spark.read.parquet(path), "place")
+            assert scan.columns == [*rows.columns, "place"] and not scan.schema["place"].nullable
+            found.append((scan.rdd.getNumPartitions(), {r.id: r.place for r in scan.collect()}, scan.count()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0][0] < found[1][0] and found[0][1:] == found[1][1:]
+    assert len(set(found[0][1].values())) == 3000 and min(found[0][1].values()) >= 0
+    assert numbered_scan(spark.read.parquet(f"{path}/*.parquet").limit(0), "place") is None
+
+
+def test_only_plain_scans_are_numbered(spark, tmp_path):
+    spark.range(20).selectExpr("id AS doc_id", "'t' AS text").write.parquet(f"{tmp_path}/t")
+    scan = spark.read.parquet(f"{tmp_path}/t")
+    assert numbered_scan(scan, "place").select("place").distinct().count() == 20
+    twice = scan.select("doc_id", "text", F.explode(F.array(F.lit(1), F.lit(2))).alias("k"))
+    for other in (twice, scan.filter("doc_id > 3"), scan.crossJoin(spark.range(2)), scan.unionByName(scan), scan.select("text", "doc_id"), spark.range(3)):
+        assert numbered_scan(other, "place") is None
+    assert [r.doc_id for r in corpus_pipeline.drop_copies(spark, twice, str(tmp_path)).collect()] == [19]
+
+
 def test_pipeline_on_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
