@@ -198,7 +198,8 @@ def links(prints: DataFrame, threshold: int = THRESHOLD, crowd: int = CROWD) ->
     calm = homes.join(crowded, "anchor", "left_anti") if some else homes
     # both ends live at anchors that are not crowded: the smaller one's home sees the pair
     came = calm.select("fp").mapInArrow(lambda batches: _deal(batches, threshold), "anchor long, fp long, home boolean")
-    near = (calm.withColumnRenamed("fp", "a").join(came.withColumnRenamed("fp", "b"), "anchor")
+    # Spark sizes the copies like the table they come from (about 70 times less): never left to a broadcast
+    near = (calm.withColumnRenamed("fp", "a").join(came.withColumnRenamed("fp", "b").hint("merge"), "anchor")
             .filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold)).select("a", "b"))
     if not some:
         return near
