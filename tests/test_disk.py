@@ -74,3 +74,9 @@ def test_without_texts_no_text_but_the_told_one_is_stored(spark, monkeypatch):
     assert "sections" not in slim.columns and sorted(map(str, slim.select(columns).collect())) == whole
     texts = {"resume_str", "clean", "_told", *(f"sec_{n}" for n in R.SECTION_NAMES)} & set(kept["sections"].columns)
     assert texts == {"_told"}
+
+
+def test_silhouette_blocks_grow_before_they_become_many():
+    from cvlens.operators import cluster as K
+    size = K.BLOCK_BYTES
+    assert [K._block_count(x * size, size) for x in (0, 1, 5, 12, 24, 48, 100)] == [1, 1, 5, 12, 12, 12, 25]
